@@ -189,8 +189,11 @@ NEEDS = {
 }
 
 
-def with_views(names: list[str], body: str, **overrides: str) -> str:
-    """``WITH`` clause with the named views and everything they need, in dependency order."""
+def with_views(names: list[str], body: str, **extra: str) -> str:
+    """``WITH`` clause with the named views and everything they need, in dependency order.
+
+    ``extra`` replaces views of the same name; other names are added after the known views.
+    """
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -199,7 +202,7 @@ def with_views(names: list[str], body: str, **overrides: str) -> str:
                 visit(need)
             order.append(name)
 
-    for name in names:
+    for name in [*names, *extra]:
         visit(name)
-    views = {**VIEWS, **overrides}
+    views = {**VIEWS, **extra}
     return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in order) + "\n" + body
