@@ -65,7 +65,7 @@ def upload_impact(file_log: DataFrame, dim_entities: DataFrame, upload_id: int |
     files = files.select("id", "file_name", "processed_at", "outcome", "submission_id", "execution_stage", "error_message")
     impact = F.struct("natural_key", "entity_name", "country_of_origin", "is_current", "valid_from", "valid_to")
     created = dim_entities.groupBy("submission_id").agg(
-        F.array_sort(F.collect_list(impact)).alias("impacted_snapshots")
+        F.sort_array(F.collect_list(impact)).alias("impacted_snapshots")
     )
     return files.join(created, "submission_id", "left").withColumn(
         "impacted_snapshots", F.coalesce("impacted_snapshots", F.array().cast(created.schema["impacted_snapshots"].dataType))

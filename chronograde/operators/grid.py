@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from chronograde import fixed_values as fv
 from chronograde.functions.text import clean_text, json_text
 
-_LABELLED_ROW = "row_idx"
-
 
 def clean_cells(cells: DataFrame) -> DataFrame:
     """Each cell with its cleaned value."""
@@ -33,15 +31,19 @@ def anchor_rows(cells: DataFrame, anchor: str = fv.METRICS_ANCHOR) -> DataFrame:
 
 def sheet_rows(cells: DataFrame, anchor: str = fv.METRICS_ANCHOR) -> DataFrame:
     """One row per sheet row: cleaned key, non-blank values with their columns, anchor flag, width."""
-    cleaned = clean_text(F.col("value"))
     is_key = F.col("col_idx") == fv.KEY_COLUMN
-    is_value = (F.col("col_idx") >= fv.FIRST_VALUE_COLUMN) & cleaned.isNotNull()
-    return cells.groupBy("file_id", "row_idx").agg(
-        F.max(F.when(is_key, cleaned)).alias("key"),
-        F.max(F.when(is_key, F.col("value") == anchor)).alias("is_anchor"),
+    # cleaned once per cell, before the grouping refers to it several times
+    prepared = cells.select(
+        "file_id", "row_idx", "col_idx", clean_text(F.col("value")).alias("text"),
+        (is_key & (F.col("value") == anchor)).alias("at_anchor"),
+    )
+    is_value = (F.col("col_idx") >= fv.FIRST_VALUE_COLUMN) & F.col("text").isNotNull()
+    return prepared.groupBy("file_id", "row_idx").agg(
+        F.max(F.when(is_key, F.col("text"))).alias("key"),
+        F.max("at_anchor").alias("is_anchor"),
         F.max("col_idx").alias("last_col"),
-        F.array_sort(
-            F.collect_list(F.when(is_value, F.struct("col_idx", cleaned.alias("value"))))
+        F.sort_array(
+            F.collect_list(F.when(is_value, F.struct("col_idx", F.col("text").alias("value"))))
         ).alias("vals"),
     )
 
@@ -53,29 +55,22 @@ def documents(cells: DataFrame, anchor: str = fv.METRICS_ANCHOR) -> DataFrame:
     rows right below it. ``error`` says why a file has no document; null means it was extracted.
     """
     labelled = F.col("key").isNotNull() | F.col("is_anchor")
-    grouped = sheet_rows(cells, anchor).groupBy("file_id").agg(
-        F.min(F.when(F.col("is_anchor"), F.col("row_idx"))).alias("anchor_row"),
-        F.max("last_col").alias("last_col"),
-        F.array_sort(
-            F.collect_list(F.when(labelled, F.struct("row_idx", "key", "vals")))
-        ).alias("rows"),
-    )
-    at = F.col("anchor_row")
+    at = F.min(F.when(F.col("is_anchor"), F.col("row_idx")))
+    rows = F.sort_array(F.collect_list(F.when(labelled, F.struct("row_idx", "key", "vals"))))
     texts = lambda vals: F.transform(vals, lambda v: v["value"])
-    anchor_line = F.filter("rows", lambda r: r["row_idx"] == at)
-    tail = F.filter("rows", lambda r: (r["row_idx"] > at) & r["key"].isNotNull())
-    return (
-        grouped
-        .withColumn("years", F.when(at.isNotNull(), texts(F.get(anchor_line, 0)["vals"])))
-        .withColumn("meta_rows", F.transform(
-            F.filter("rows", lambda r: (r["row_idx"] < at) & r["key"].isNotNull()),
-            lambda r: F.struct(r["row_idx"].alias("row_idx"), r["key"].alias("key"), texts(r["vals"]).alias("vals")),
-        ))
-        .withColumn("tail", tail)
-        .withColumn("metric_rows", F.filter("tail", lambda r, i: r["row_idx"] == at + 1 + i))
-        .drop("rows", "tail")
-        .withColumn("error", _extraction_error(anchor))
-    )
+    above = F.filter(rows, lambda r: (r["row_idx"] < at) & r["key"].isNotNull())
+    below = F.filter(rows, lambda r: (r["row_idx"] > at) & r["key"].isNotNull())
+    # All of it is output of the aggregate itself: filters on these columns stay above the aggregate
+    # instead of repeating the array work below it.
+    return sheet_rows(cells, anchor).groupBy("file_id").agg(
+        at.alias("anchor_row"),
+        F.max("last_col").alias("last_col"),
+        texts(F.get(F.filter(rows, lambda r: r["row_idx"] == at), 0)["vals"]).alias("years"),
+        F.transform(above, lambda r: F.struct(
+            r["row_idx"].alias("row_idx"), r["key"].alias("key"), texts(r["vals"]).alias("vals")
+        )).alias("meta_rows"),
+        F.filter(below, lambda r, i: r["row_idx"] == at + 1 + i).alias("metric_rows"),
+    ).withColumn("error", _extraction_error(anchor))
 
 
 def _extraction_error(anchor: str) -> Column:
@@ -152,7 +147,7 @@ def with_metrics(docs: DataFrame) -> DataFrame:
 
 def metadata_rows(docs: DataFrame) -> DataFrame:
     """``file_id, row_idx, key, vals`` for every labelled row above the anchor."""
-    return docs.select("file_id", F.inline("meta_rows"))
+    return _unnested(docs, "meta_rows").select("file_id", "item.*")
 
 
 def metadata_shape(docs: DataFrame) -> DataFrame:
@@ -167,7 +162,7 @@ def metadata_shape(docs: DataFrame) -> DataFrame:
 
 
 def metadata_last_wins(docs: DataFrame) -> DataFrame:
-    return with_metadata(docs).select("file_id", F.explode("metadata").alias("key", "vals"))
+    return with_metadata(docs).select("file_id", F.explode_outer("metadata").alias("key", "vals")).filter("key IS NOT NULL")
 
 
 def year_header(docs: DataFrame) -> DataFrame:
@@ -175,22 +170,32 @@ def year_header(docs: DataFrame) -> DataFrame:
 
 
 def metric_block(docs: DataFrame) -> DataFrame:
-    return docs.select("file_id", F.explode("metric_rows").alias("m")).select(
-        "file_id", F.col("m.row_idx").alias("row_idx"), F.col("m.key").alias("metric_name")
+    return _unnested(docs, "metric_rows").select(
+        "file_id", F.col("item.row_idx").alias("row_idx"), F.col("item.key").alias("metric_name")
     )
 
 
 def metric_points(docs: DataFrame) -> DataFrame:
     """``file_id, metric_name, year_label, value, status``: the metric matrix in long form."""
-    return (
-        with_metrics(docs)
-        .select("file_id", F.explode("metrics").alias("m"))
-        .select("file_id", F.col("m.name").alias("metric_name"), F.col("m.status").alias("status"),
-                F.explode("m.points").alias("p"))
-        .select("file_id", "metric_name", F.col("p.year").alias("year_label"), F.col("p.value").alias("value"), "status")
+    metrics = _unnested(with_metrics(docs), "metrics")
+    return metrics.select(
+        "file_id", F.col("item.name").alias("metric_name"), F.inline("item.points").alias("year_label", "value"),
+        F.col("item.status").alias("status"),
+    )
+
+
+def metric_status(docs: DataFrame) -> DataFrame:
+    return _unnested(with_metrics(docs), "metrics").select(
+        "file_id", F.col("item.name").alias("metric_name"), F.col("item.status").alias("status")
     )
 
 
+def _unnested(docs: DataFrame, column: str) -> DataFrame:
+    """One row per array element. The outer form keeps the optimizer from testing the array's size in a
+    pushed-down filter, which would compute a derived array twice."""
+    return docs.select("file_id", F.explode_outer(column).alias("item")).filter(F.col("item").isNotNull())
+
+
 # --- payload text --------------------------------------------------------------------------------
 
 

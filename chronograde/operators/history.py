@@ -134,7 +134,7 @@ def nested_history(history: DataFrame) -> DataFrame:
     point = F.struct(
         "calendar_year", "year_label", "metric_value", "metric_value_formatted", "is_forecast", "processing_status"
     )
-    return history.groupBy("natural_key", "metric_name").agg(F.array_sort(F.collect_list(point)).alias("history"))
+    return history.groupBy("natural_key", "metric_name").agg(F.sort_array(F.collect_list(point)).alias("history"))
 
 
 def snapshots(

@@ -266,7 +266,7 @@ SELECT file_id, key, 'MASTER' AS source_sheet, CAST(row_idx + 1 AS INTEGER) AS e
        coalesce(array_to_string(range(3, len(vs) + 3), ','), '') AS excel_columns FROM meta"""))
 def cell_lineage(spark, d):
     docs = grid.with_lineage(_docs(spark, d))
-    return docs.select("file_id", F.explode("lineage").alias("key", "l")).select(
+    return docs.select("file_id", F.explode_outer("lineage").alias("key", "l")).filter("key IS NOT NULL").select(
         "file_id", "key", "l.source_sheet", "l.excel_row",
         F.array_join(F.col("l.excel_columns").cast("array<string>"), ",").alias("excel_columns"),
     )
@@ -289,10 +289,7 @@ def metric_unpivot(spark, d):
 
 @query(with_views(["points"], "SELECT DISTINCT file_id, metric_name, status FROM points"))
 def metric_status(spark, d):
-    docs = grid.with_metrics(_docs(spark, d))
-    return docs.select("file_id", F.explode("metrics").alias("m")).select(
-        "file_id", F.col("m.name").alias("metric_name"), F.col("m.status").alias("status")
-    )
+    return grid.metric_status(_docs(spark, d))
 
 
 @query(with_views(["meta"], """
@@ -307,7 +304,7 @@ def assemble_payload(spark, d):
 
 
 def _exploded(docs: DataFrame, errors) -> DataFrame:
-    return docs.select("file_id", F.explode(errors).alias("error"))
+    return docs.select("file_id", F.explode_outer(errors).alias("error")).filter(F.col("error").isNotNull())
 
 
 @query(with_views(["missing"], "SELECT file_id, error FROM missing"))
@@ -336,9 +333,8 @@ def pad_vectors(spark, d):
 
 @query(with_views(["zipped"], "SELECT file_id, CAST(pos - 1 AS INTEGER) AS pos, sector, weight, score FROM zipped"))
 def zip_industries(spark, d):
-    return _checked(spark, d).select("file_id", F.posexplode("industries").alias("pos", "i")).select(
-        "file_id", "pos", "i.sector", "i.weight", "i.score"
-    )
+    zipped = _checked(spark, d).select("file_id", F.posexplode_outer("industries").alias("pos", "i"))
+    return zipped.filter(F.col("pos").isNotNull()).select("file_id", "pos", "i.sector", "i.weight", "i.score")
 
 
 @query("""
@@ -557,8 +553,9 @@ def profile_projection(spark, d):
 SELECT submission_id, sector, concat(CAST(weight AS VARCHAR), '%') AS weight_label, score FROM inds WHERE submission_id % 3 <> 0"""))
 def unnest_industries(spark, d):
     parsed = scd2.parse_payload(fx.payloads(spark, d))
-    return parsed.select("submission_id", F.inline(F.col("payload.metadata")[fv.INDUSTRY_FIELD])).select(
-        "submission_id", "sector", F.col(fv.WEIGHT_FIELD).alias("weight_label"), F.col(fv.SCORE_FIELD).alias("score")
+    vector = F.col("payload.metadata")[fv.INDUSTRY_FIELD]
+    return parsed.select("submission_id", F.explode_outer(vector).alias("i")).filter(F.col("i").isNotNull()).select(
+        "submission_id", "i.sector", F.col("i")[fv.WEIGHT_FIELD].alias("weight_label"), F.col("i")[fv.SCORE_FIELD].alias("score")
     )
 
 

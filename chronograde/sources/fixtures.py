@@ -153,7 +153,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submissions with a JSON document. Every third one has the fallback shape without ``metadata``."""
     s, i, m = subs(spark, sf_dir), inds(spark, sf_dir), metrics(spark, sf_dir)
     vector = i.groupBy("submission_id").agg(
-        F.array_sort(F.collect_list(F.struct(
+        F.sort_array(F.collect_list(F.struct(
             "pos", "sector", F.concat(F.col("weight").cast("string"), F.lit("%")).alias("w"), "score"
         ))).alias("v")
     ).select("submission_id", F.transform("v", lambda x: F.struct(
@@ -165,12 +165,12 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = (
         m.groupBy("submission_id", "metric_name")
         .agg(
-            F.array_sort(F.collect_list(F.struct(label.alias("y"), F.col("metric_value").cast("string").alias("v")))).alias("p"),
+            F.sort_array(F.collect_list(F.struct(label.alias("y"), F.col("metric_value").cast("string").alias("v")))).alias("p"),
             F.max("processing_status").alias("status"),
         )
         .withColumn("points", F.map_from_entries(F.concat("p", F.array(F.struct(F.lit("status").alias("y"), F.col("status").alias("v"))))))
         .groupBy("submission_id")
-        .agg(F.array_sort(F.collect_list(F.struct("metric_name", F.map_entries("points").alias("e")))).alias("m"))
+        .agg(F.sort_array(F.collect_list(F.struct("metric_name", F.map_entries("points").alias("e")))).alias("m"))
         .select("submission_id", F.map_from_entries(F.transform("m", lambda x: F.struct(
             x["metric_name"].alias("key"), F.map_from_entries(x["e"]).alias("value")
         ))).alias("metrics"))
