@@ -107,7 +107,7 @@ def pit_join(points: DataFrame, dim: DataFrame, rows_per_slice: int = 1 << 16) -
 def metric_history(
     facts: DataFrame, dim: DataFrame, company_id: str | None = None, metrics: Sequence[str] | None = None
 ) -> DataFrame:
-    """One point per company, metric and year; the newest entity, then profile version wins.
+    """One point per company, metric and year; the newest entity version, then the newest fact wins.
 
     ``company_id`` is a case-insensitive pattern (``%`` and ``_`` are wildcards); without it all
     companies are returned. Facts are reduced per entity version before they meet the dimension.
@@ -119,7 +119,7 @@ def metric_history(
         entities = entities.filter(F.ilike(trimmed(F.col("natural_key")), F.lit(company_id.strip())))
         rows = rows.join(entities.select("entity_key"), "entity_key", "left_semi")
     per_version = rows.groupBy("entity_key", "metric_name", "calendar_year").agg(
-        F.max_by(F.struct(*point), "profile_key").alias("point")
+        F.max_by(F.struct(*point), F.struct("updated_at", "submission_id")).alias("point")
     )
     return (
         per_version.join(entities, "entity_key")

@@ -834,7 +834,7 @@ def pit_join(spark, d):
 _HISTORY_SQL = """
 SELECT natural_key, metric_name, calendar_year, year_label, metric_value, metric_value_formatted, is_forecast, processing_status
 FROM (SELECT e.natural_key, f.*, row_number() OVER (PARTITION BY e.natural_key, metric_name, calendar_year
-             ORDER BY e.valid_from DESC, e.entity_key DESC, f.profile_key DESC) AS rn
+             ORDER BY e.valid_from DESC, e.entity_key DESC, f.updated_at DESC, f.submission_id DESC) AS rn
       FROM facts f JOIN ents e ON e.entity_key = f.entity_key) WHERE rn = 1"""
 
 
