@@ -11,19 +11,23 @@ _NUMERIC = r"^-?[0-9]+(\.[0-9]+)?$"
 
 
 def trimmed(value: Column) -> Column:
-    """Strip Unicode white space at both ends."""
-    return F.btrim(value, F.lit(fv.WHITESPACE))
+    """Strip Unicode white space at both ends; text without any keeps the cheap path."""
+    white = list(fv.WHITESPACE)
+    padded = F.substring(value, 1, 1).isin(white) | F.substring(value, -1, 1).isin(white)
+    return F.when(padded, F.btrim(value, F.lit(fv.WHITESPACE))).otherwise(value)
 
 
 def clean_text(value: Column) -> Column:
     """A text cell: trimmed; empty text and blank markers become null."""
     text = trimmed(value)
-    return F.when((text != "") & ~F.lower(text).isin(fv.BLANK_MARKERS), text)
+    longest = max(map(len, fv.BLANK_MARKERS))
+    blank = (F.length(text) <= longest) & ((text == "") | F.lower(text).isin(fv.BLANK_MARKERS))
+    return F.when(~blank, text)
 
 
 def clean_number(value: Column) -> Column:
     """A numeric cell as text: integral numbers without a fraction, others rounded to two digits."""
-    fixed = F.round(value, 2).cast("decimal(38,2)").cast("string")
+    fixed = F.round(value, 2).try_cast("decimal(38,2)").cast("string")
     return F.when(~F.isnan(value), F.regexp_replace(fixed, r"\.?0+$", ""))
 
 
@@ -32,7 +36,7 @@ def plain_number(value: Column) -> Column:
 
     Hash inputs use this form because engines print doubles differently.
     """
-    return F.regexp_replace(value.cast("decimal(18,4)").cast("string"), r"\.?0+$", "")
+    return F.regexp_replace(value.try_cast("decimal(38,4)").cast("string"), r"\.?0+$", "")
 
 
 def json_text(value: Column) -> Column:
@@ -43,11 +47,12 @@ def json_text(value: Column) -> Column:
 
 def format_weight(weight: Column) -> Column:
     """Weight label: numbers up to 1 are fractions, larger ones are cut to whole per cents, text stays."""
-    number = weight.try_cast("double")
+    number = F.when(F.rlike(weight, F.lit(_NUMERIC)), weight.try_cast("double"))
+    whole = lambda n: F.concat(n.try_cast("bigint").cast("string"), F.lit("%"))
     return (
         F.when(weight.isNull() | (weight == ""), F.lit("0%"))
-        .when(number <= 1, F.concat(F.bround(number * 100, 0).cast("bigint").cast("string"), F.lit("%")))
-        .when(number > 1, F.concat(number.cast("bigint").cast("string"), F.lit("%")))
+        .when(number <= 1, whole(F.bround(number * 100, 0)))
+        .when(number > 1, whole(number))
         .otherwise(weight)
     )
 

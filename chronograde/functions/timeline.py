@@ -44,6 +44,7 @@ class Timeline:
         cuts = (
             df.select(*self.keys, *self.order)
             .filter(F.pmod(place, F.lit(self.rows_per_slice)) == 0)
+            .repartition(*self.order)  # ends the scan's stage, so the broadcast below starts from few rows
             .orderBy(place, *self.order)
             .limit(self.max_cuts)
             .groupBy(*self.keys)

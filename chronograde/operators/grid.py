@@ -1,9 +1,11 @@
 """Free-form grids to documents: anchor search, metadata map, lineage, metric matrix.
 
-Input is the long table ``cells(file_id, row_idx, col_idx, value)`` with 0-based positions. Cells are
-grouped into sheet rows first (a row is at most 16,384 cells wide by file format), rows into documents
-second; a document is one output row by definition. Both groupings combine on the map side and spread
-a large sheet over all tasks until the final assembly. No joins are involved, and one scan is enough.
+Input is the long table ``cells(file_id, row_idx, col_idx, value)`` with 0-based positions. One scan and one
+shuffle by file serve everything: cells are grouped into sheet rows and rows into documents inside the
+same partitions, without a join. A document is one output row by definition, so all of a file meets in
+one task in any plan; the file format bounds it (1,048,576 rows of 16,384 cells), which is why files are
+not salted. Queries that need no whole document (:func:`anchor_rows`, :func:`files_without_anchor`,
+:func:`clean_cells`) do not assemble any.
 """
 
 from __future__ import annotations
@@ -29,11 +31,19 @@ def anchor_rows(cells: DataFrame, anchor: str = fv.METRICS_ANCHOR) -> DataFrame:
     )
 
 
+def files_without_anchor(files: DataFrame, cells: DataFrame, anchor: str = fv.METRICS_ANCHOR) -> DataFrame:
+    """Files in which the anchor text does not occur."""
+    return files.join(anchor_rows(cells, anchor), "file_id", "left_anti").select(
+        "file_id", F.lit(f"Anchor '{anchor}' not found in sheet").alias("error")
+    )
+
+
 def sheet_rows(cells: DataFrame, anchor: str = fv.METRICS_ANCHOR) -> DataFrame:
     """One row per sheet row: cleaned key, non-blank values with their columns, anchor flag, width."""
     is_key = F.col("col_idx") == fv.KEY_COLUMN
-    # cleaned once per cell, before the grouping refers to it several times
-    prepared = cells.select(
+    # Cleaned once per cell, before the grouping refers to it several times. The partitioning by file also
+    # serves the grouping of rows into documents.
+    prepared = cells.repartition("file_id").select(
         "file_id", "row_idx", "col_idx", clean_text(F.col("value")).alias("text"),
         (is_key & (F.col("value") == anchor)).alias("at_anchor"),
     )
@@ -89,16 +99,25 @@ def _extraction_error(anchor: str) -> Column:
 def _last_wins(entries: Column, key: str) -> Column:
     """Drop entries whose key occurs again later in the array."""
     keys = F.transform(entries, lambda e: e[key])
-    backwards = F.reverse(keys)
-    return F.filter(entries, lambda e, i: F.size(keys) - F.array_position(backwards, e[key]) == i)
+    return _without_repeats(entries, key, F.reverse(keys))
+
+
+def _without_repeats(entries: Column, key: str, backwards: Column) -> Column:
+    """``backwards`` are the keys of ``entries`` from last to first."""
+    return F.filter(entries, lambda e, i: F.size(backwards) - F.array_position(backwards, e[key]) == i)
+
+
+def _final_meta_rows(docs: DataFrame) -> DataFrame:
+    """Add ``final_meta_rows``: of rows with the same key only the last. The key list is a column of its
+    own, so it is built once per document and not once per row."""
+    keyed = docs.withColumn("_keys", F.reverse(F.transform("meta_rows", lambda r: r["key"])))
+    return keyed.withColumn("final_meta_rows", _without_repeats(F.col("meta_rows"), "key", F.col("_keys"))).drop("_keys")
 
 
 def with_metadata(docs: DataFrame) -> DataFrame:
     """Add ``metadata map<string,array<string>>``; the last row of a repeated key wins."""
-    entries = F.transform(
-        _last_wins(F.col("meta_rows"), "key"), lambda r: F.struct(r["key"].alias("key"), r["vals"].alias("value"))
-    )
-    return docs.withColumn("metadata", F.map_from_entries(entries))
+    entries = F.transform("final_meta_rows", lambda r: F.struct(r["key"].alias("key"), r["vals"].alias("value")))
+    return _final_meta_rows(docs).withColumn("metadata", F.map_from_entries(entries)).drop("final_meta_rows")
 
 
 def with_lineage(docs: DataFrame, sheet: str = fv.SHEET_NAME) -> DataFrame:
@@ -118,9 +137,9 @@ def with_lineage(docs: DataFrame, sheet: str = fv.SHEET_NAME) -> DataFrame:
             ).alias("value"),
         )
 
-    return docs.withColumn(
-        "lineage", F.map_from_entries(F.transform(_last_wins(F.col("meta_rows"), "key"), trace))
-    )
+    return _final_meta_rows(docs).withColumn(
+        "lineage", F.map_from_entries(F.transform("final_meta_rows", trace))
+    ).drop("final_meta_rows")
 
 
 def with_metrics(docs: DataFrame) -> DataFrame:
@@ -129,7 +148,10 @@ def with_metrics(docs: DataFrame) -> DataFrame:
     The i-th year belongs to column ``2 + i``; blank cells stay as null points.
     """
     def value_at(vals: Column, col: Column) -> Column:
-        return F.get(F.filter(vals, lambda v: v["col_idx"] == col), 0)["value"]
+        # without gaps, the cell of column 2 + i is element i; only rows with gaps are searched
+        direct = F.get(vals, col - fv.FIRST_VALUE_COLUMN)
+        searched = F.get(F.filter(vals, lambda v: v["col_idx"] == col), 0)["value"]
+        return F.when(direct["col_idx"] == col, direct["value"]).otherwise(searched)
 
     def metric(r: Column) -> Column:
         points = F.transform(

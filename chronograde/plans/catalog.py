@@ -94,10 +94,10 @@ def fingerprint_sha256(spark, d):
 
 @query("SELECT page_id AS id, url AS file_name, md5(html) AS content_md5 FROM pages WHERE html IS NOT NULL AND length(html) > 0")
 def file_content_lookup(spark, d):
-    log = fx.table(spark, d, "pages").select(
-        F.col("page_id").alias("id"), F.col("url").alias("file_name"), F.encode("html", "UTF-8").alias("file_content")
-    )
-    return audit.file_content(log).select("id", "file_name", F.md5("file_content").alias("content_md5"))
+    pages = fx.table(spark, d, "pages")
+    log = pages.select(F.col("page_id").alias("id"), F.col("url").alias("file_name"), F.lit(1).alias("run_id"), F.col("page_id").alias("path"))
+    contents = pages.select(F.lit(1).alias("run_id"), F.col("page_id").alias("path"), F.encode("html", "UTF-8").alias("content"))
+    return audit.file_content(log, contents).select("id", "file_name", F.md5("file_content").alias("content_md5"))
 
 
 @query("SELECT c_custkey AS file_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
@@ -221,7 +221,8 @@ def anchor_row(spark, d):
 SELECT DISTINCT cells.file_id, 'Anchor ''[METRICS]'' not found in sheet' AS error
 FROM cells LEFT JOIN anchor ON anchor.file_id = cells.file_id WHERE anchor.file_id IS NULL"""))
 def missing_anchor(spark, d):
-    return _docs(spark, d).filter(F.col("anchor_row").isNull()).select("file_id", "error")
+    files = fx.subs(spark, d).select(F.col("submission_id").alias("file_id"))
+    return grid.files_without_anchor(files, fx.cells(spark, d), fx.FIXTURE_ANCHOR)
 
 
 @query(with_views(["anchor"], """

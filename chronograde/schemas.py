@@ -1,4 +1,8 @@
-"""Fixed schemas: the long cell table, the parsed payload and the nine warehouse tables."""
+"""Fixed schemas: the long cell table, the parsed payload and the warehouse tables.
+
+The bytes of landed files have a table of their own next to the file log: they are written once, straight
+from the scan, and never move through a shuffle.
+"""
 
 from __future__ import annotations
 
@@ -75,7 +79,10 @@ RUNS = _struct(
 )
 FILE_LOG = _struct(
     id=LONG, run_id=LONG, file_name=STR, processed_at=NTZ, outcome=STR, submission_id=LONG,
-    execution_stage=STR, error_message=STR, file_content=T.BinaryType(), checksum=STR, route=STR,
+    execution_stage=STR, error_message=STR, path=STR, checksum=STR, route=STR,
+)
+FILE_CONTENTS = _struct(
+    run_id=LONG, path=STR, filename=STR, file_size=LONG, modified_at=NTZ, checksum=STR, content=T.BinaryType(),
 )
 
 TABLES = {
@@ -88,4 +95,5 @@ TABLES = {
     "fct_rating_metric": FACTS,
     "pipeline_runs": RUNS,
     "pipeline_file_details": FILE_LOG,
+    "pipeline_file_contents": FILE_CONTENTS,
 }

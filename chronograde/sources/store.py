@@ -23,10 +23,10 @@ OPEN, CLOSED = "open", "closed"
 
 @dataclass(frozen=True)
 class Write:
-    """``append`` adds rows. ``versioned`` replaces the open rows and adds the closed ones, told apart by
+    """``append`` adds rows (a folder from :meth:`Store.put`, or data). ``versioned`` replaces the open rows and adds the closed ones, told apart by
     the boolean column ``flag``; rows closed earlier are never read or rewritten."""
 
-    data: DataFrame
+    data: DataFrame | str
     kind: str = "append"
     flag: str = "is_current"
 
@@ -70,19 +70,26 @@ class Store:
 
     # -- writing ---------------------------------------------------------------------------------
 
+    def put(self, table: str, data: DataFrame) -> str:
+        """Write rows that become visible when a later commit names the returned folder."""
+        folder = f"data/{table}/{uuid.uuid4().hex}"
+        data.select(*schemas.TABLES[table].fieldNames()).write.parquet(f"{self.root}/{folder}")
+        return folder
+
+    def open_folder(self, table: str, folder: str) -> DataFrame:
+        return self._load([folder], schemas.TABLES[table], "is_current", True)
+
     def commit(self, writes: dict[str, Write], marks: dict | None = None, expect: int | None = None) -> int:
         """Write all tables, then publish them together. Fails if another commit came first."""
         before = self.manifest()
         version = (before["version"] if expect is None else expect) + 1
         tables = {t: {p: list(v) for p, v in parts.items()} for t, parts in before["tables"].items()}
         for table, write in writes.items():
-            folder = f"data/{table}/{version:08d}-{uuid.uuid4().hex[:8]}"
             parts = tables.setdefault(table, {OPEN: [], CLOSED: []})
             if write.kind == "append":
-                columns = schemas.TABLES[table].fieldNames()
-                write.data.select(*columns).write.parquet(f"{self.root}/{folder}")
-                parts[OPEN].append(folder)
+                parts[OPEN].append(write.data if isinstance(write.data, str) else self.put(table, write.data))
             else:
+                folder = f"data/{table}/{uuid.uuid4().hex}"
                 flag = F.when(F.col(write.flag), OPEN).otherwise(CLOSED)
                 columns = [c for c in schemas.TABLES[table].fieldNames() if c != write.flag]
                 write.data.select(*columns, flag.alias("_part")).write.partitionBy("_part").parquet(f"{self.root}/{folder}")
