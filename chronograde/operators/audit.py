@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronograde import schemas
-
 
 def route(outcome: Column) -> Column:
     """Successes go to the archive; failures and skipped files to the dead-letter folder."""
@@ -31,19 +29,6 @@ def run_counts(files: DataFrame) -> DataFrame:
     )
 
 
-def audit_event(
-    status: str, submissions: DataFrame, at: Column, message: Column, filename: Column | None = None
-) -> DataFrame:
-    """One audit event per given submission."""
-    return submissions.select(
-        F.xxhash64("submission_id", F.lit(status)).alias("id"),
-        (F.col("filename") if filename is None else filename).alias("filename"),
-        "submission_id", F.lit(status).alias("execution_status"),
-        F.lit(0).cast("bigint").alias("processed_records"), message.alias("error_message"),
-        at.alias("started_at"), F.lit(None).cast("timestamp_ntz").alias("completed_at"),
-    ).select(*schemas.AUDIT_LOG.fieldNames())
-
-
 def audit_latest(events: DataFrame, key: str, at: str, tie: str, columns: list[str]) -> DataFrame:
     """Latest event of each key."""
     latest = F.max_by(F.struct(at, tie, *columns), F.struct(at, tie))

@@ -12,7 +12,7 @@ one version per level), stable under re-runs, and free of any global numbering.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -238,15 +238,19 @@ def close_industries(current: DataFrame, profiles: DataFrame) -> DataFrame:
 def merge_dimensions(
     rows: DataFrame, dim_entities: DataFrame, dim_profiles: DataFrame, dim_industries: DataFrame,
     timeline: Timeline = LOAD_ORDER, close_children: bool = True,
+    settle: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
     """Merge a batch into stored dimensions.
 
+    ``settle`` may write the annotated timeline and read it back: all dimensions and the facts derive from
+    it, so writing it once saves their repeating the shuffle by entity.
+
     Returns the rows to keep *besides* the already closed ones, per dimension: current versions (possibly
     closed now) and new versions; plus ``annotated``, the batch with its keys. Closed rows never change,
     so a merge reads and rewrites only the current part of each dimension, in one shuffle by entity.
     """
     stored = stored_rows(dim_entities, dim_profiles)
-    annotated = annotate_versions(batch_rows(rows).unionByName(stored, allowMissingColumns=True), timeline)
+    annotated = settle(annotate_versions(batch_rows(rows).unionByName(stored, allowMissingColumns=True), timeline))
     profiles = profile_history(annotated, timeline, close_children)
     industries = close_industries(dim_industries.filter("is_current"), profiles).unionByName(
         industry_history(annotated, timeline, close_children)

@@ -68,8 +68,9 @@ def _rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _annotated(spark: SparkSession, d: str) -> DataFrame:
-    """Submissions with version keys. The parsed rows are written once, as the submissions table would be."""
-    return scd2.annotate_versions(scd2.batch_rows(stage(_rows(spark, d), "rows")))
+    """Submissions with version keys. Parsed rows and the annotated timeline are written once each, as an
+    ingest does, instead of being recomputed by every branch of the plan."""
+    return stage(scd2.annotate_versions(scd2.batch_rows(stage(_rows(spark, d), "rows"))), "annotated")
 
 
 def _documents_of(spark: SparkSession, d: str) -> DataFrame:
@@ -525,12 +526,14 @@ _CUT = "1998-07-01 00:00:00"
 def scd2_merge_entities(spark, d):
     """Load the submissions before a date, then merge the rest: the same history as one load."""
     rows = stage(_rows(spark, d), "rows")
-    first = scd2.annotate_versions(scd2.batch_rows(rows.filter(F.col("submitted_at") < F.lit(_CUT).cast("timestamp_ntz"))))
+    early = rows.filter(F.col("submitted_at") < F.lit(_CUT).cast("timestamp_ntz"))
+    first = stage(scd2.annotate_versions(scd2.batch_rows(early)), "annotated")
     old_entities = stage(scd2.entity_history(first), "entities")
     old_profiles = stage(scd2.profile_history(first), "profiles")
     old_industries = stage(scd2.industry_history(first), "industries")
     merged = scd2.merge_dimensions(
-        rows.filter(F.col("submitted_at") >= F.lit(_CUT).cast("timestamp_ntz")), old_entities, old_profiles, old_industries
+        rows.filter(F.col("submitted_at") >= F.lit(_CUT).cast("timestamp_ntz")), old_entities, old_profiles, old_industries,
+        settle=lambda df: stage(df, "merged"),
     )
     closed = old_entities.filter(~F.col("is_current"))
     return closed.unionByName(merged["dim_entities"]).select(
