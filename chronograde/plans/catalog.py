@@ -101,11 +101,11 @@ def file_content_lookup(spark, d):
     return audit.file_content(log, contents).select("id", "file_name", F.md5("file_content").alias("content_md5"))
 
 
-@query("SELECT c_custkey AS file_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT o_orderkey AS file_id FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
 def unreadable_files(spark, d):
-    """Customers as files, their orders as cells: files without a cell."""
-    files = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("file_id"))
-    return landing.unreadable(files, fx.table(spark, d, "orders").select(F.col("o_custkey").alias("file_id")))
+    """Orders as files, their line items as cells: files without a cell."""
+    files = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("file_id"))
+    return landing.unreadable(files, fx.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("file_id")))
 
 
 @query("""
@@ -622,15 +622,17 @@ def industry_parent_hash(spark, d):
     return industries.join(profiles, "profile_key")
 
 
-@query(with_views(["inds"], """
+@query(with_views(["inds", "subs"], """
 SELECT sector, weight, score, submission_id, pos FROM (
   SELECT *, row_number() OVER (PARTITION BY sector, weight, score ORDER BY submission_id, pos) AS rn FROM inds i
-  WHERE NOT EXISTS (SELECT 1 FROM inds t WHERE t.submission_id < 100 AND t.sector = i.sector AND t.weight = i.weight AND t.score = i.score))
+  WHERE NOT EXISTS (SELECT 1 FROM inds t JOIN subs ON subs.submission_id = t.submission_id
+                    WHERE submitted_at < TIMESTAMP '1995-02-01' AND t.sector = i.sector AND t.weight = i.weight AND t.score = i.score))
 WHERE rn = 1"""))
 def insert_if_absent(spark, d):
-    """Early submissions are the target, all are incoming."""
+    """Industries of the first month are stored, all are incoming."""
     rows = fx.inds(spark, d)
-    target = rows.filter(F.col("submission_id") < 100)
+    month = fx.subs(spark, d).filter(F.col("submitted_at") < F.lit("1995-02-01 00:00:00").cast("timestamp_ntz"))
+    target = rows.join(month.select("submission_id"), "submission_id", "left_semi")
     return scd2.insert_if_absent(target, rows, ["sector", "weight", "score"], ["submission_id", "pos"])
 
 
@@ -710,9 +712,11 @@ def load_success_flag(spark, d):
     return facts.load_success(_rows(spark, d))
 
 
-@query(with_views(["ents"], "SELECT natural_key, count(*) AS row_count FROM ents WHERE is_current GROUP BY natural_key HAVING count(*) > 1"))
+@query(with_views(["subs"], "SELECT natural_key, count(*) AS row_count FROM subs WHERE currency <> 'F' GROUP BY natural_key HAVING count(*) > 1"))
 def check_unique_current(spark, d):
-    return integrity.repeated_current(_entities(spark, d), ["natural_key"])
+    """Raw submissions as a dimension whose rows are current while their order is open: it violates the check."""
+    raw = fx.subs(spark, d).withColumn("is_current", F.col("currency") != "F")
+    return integrity.repeated_current(raw, ["natural_key"])
 
 
 @query("SELECT DISTINCT l_orderkey AS submission_id FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-07-01' AND NOT EXISTS "

@@ -22,11 +22,15 @@ def local_session(cores: int | str = 8, app: str = "chronograde") -> SparkSessio
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the session names; a private one only if none is set (tests)."""
+_private: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names; a private temporary one only if it is unset (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        configured = tempfile.mkdtemp(prefix="chronograde-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    if not configured:
+        app = spark.sparkContext.applicationId
+        if app not in _private:
+            _private[app] = tempfile.mkdtemp(prefix="chronograde-")
+        configured = _private[app]
+    return configured.rstrip("/")

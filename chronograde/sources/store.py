@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronograde import schemas
-from chronograde.session import ensure_checkpoint_dir
+from chronograde.session import shared_folder
 
 OPEN, CLOSED = "open", "closed"
 
@@ -146,13 +146,24 @@ class Store:
             stream.close()
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write an intermediate result to the shared checkpoint folder and read it back.
 
     Cuts the lineage at a columnar table: later branches prune columns and rows on scan, and lost
     executors re-read files instead of repeating the extraction.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for the intermediate results of one batch."""
+    return f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete the scratch folder of a finished batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
