@@ -39,9 +39,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    written = stage(spark, warc.write_records(pages, warc.archive_count(spark, pages)), "warc")
-    return warc.read_records(written)
+    return warc.read_records(stage(spark, warc.write_records(table(spark, sf_dir, "pages")), "warc"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

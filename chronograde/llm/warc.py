@@ -13,7 +13,7 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 64 * 1024
@@ -73,9 +73,10 @@ def record_chunks(page_id: int, url: str | None, html: str | None, size: int, sh
     yield CRLF + CRLF
 
 
-def write_records(pages: DataFrame, archives: int, chunk: int = CHUNK, min_bytes: int = 0) -> DataFrame:
-    """The chunk rows of one record per page, dealt over ``archives`` archives by page id and sorted in each.
+def write_records(pages: DataFrame, chunk: int = CHUNK, min_bytes: int = 0) -> DataFrame:
+    """The chunk rows of one record per page. Each task writes an archive of its own, in order of page ids.
 
+    Pages are shuffled once, to meet their digests' first copies; the archive's number is the task's.
     Null html is an empty payload, null url an empty URI. ``page_id`` names the record: rows without one get no
     record, and of rows that share one the payload with the smallest digest is written once.
     """
@@ -84,7 +85,7 @@ def write_records(pages: DataFrame, archives: int, chunk: int = CHUNK, min_bytes
     rows = (marked.withColumn("sha1", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
             .join(known, ["page_id", "sha1"])
             .withColumn("html", F.expr("CASE WHEN first_id = page_id THEN html END"))
-            .withColumn("archive", F.pmod(F.xxhash64("page_id"), F.lit(archives)).cast("int"))
+            .sortWithinPartitions("page_id").withColumn("archive", F.spark_partition_id())
             .select("archive", "page_id", "url", "html", "payload_bytes", "sha1", "first_id"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +105,7 @@ def write_records(pages: DataFrame, archives: int, chunk: int = CHUNK, min_bytes
         if out:
             yield _batch(out)
 
-    return rows.repartition(archives, "archive").sortWithinPartitions("archive", "page_id").mapInArrow(run, CHUNKS)
+    return rows.mapInArrow(run, CHUNKS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -194,8 +195,3 @@ def export(chunks: DataFrame, archive: int, path: str) -> None:
         for row in rows.toLocalIterator():
             out.write(row["data"])
 
-
-def archive_count(spark: SparkSession, pages: DataFrame, archive_bytes: int = 128 << 20) -> int:
-    """So many archives that each has about ``archive_bytes`` of payload."""
-    total = pages.agg(F.sum(F.octet_length("html").cast("bigint"))).first()[0] or 0
-    return max(spark.sparkContext.defaultParallelism, -(-total // archive_bytes))
