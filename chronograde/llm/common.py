@@ -26,10 +26,19 @@ def stage(spark: SparkSession, df: DataFrame, name: str, *partition_by: str) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-def input_tasks(spark: SparkSession, df: DataFrame, per_core: int = 1) -> DataFrame:
-    """Gives Python work at least a task for each core when the input comes in fewer files."""
-    cores = spark.sparkContext.defaultParallelism * per_core
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+def release(*staged: DataFrame) -> None:
+    """Deletes the folders of staged results that nothing will read again."""
+    for df in staged:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def by_word(spark: SparkSession, df: DataFrame, key: str = "word") -> DataFrame:
+    """Writes rows as a table in buckets of ``key`` and reads it back: later groupings and joins by the key need no shuffle."""
+    name, n = f"llm_{key}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -49,10 +58,12 @@ def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> D
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         large = stage(spark, large, "large_star")
+        before = e
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
         e = stage(spark, small, "small_star")
+        release(before, large)
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronograde.llm.common import stage
+from chronograde.llm.common import release, stage
 
 LENGTHS = (3, 4, 5)
 DECAY = 0.5
@@ -240,7 +240,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     picked = [known.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
     rows = stage(spark, docs.select("doc_id", "text").join(picked[0].union(picked[1]), "doc_id")
                  .dropDuplicates(["doc_id"]).select("doc_id", "text", "label"), "labelled")
+    labelled = rows
     rows = stage(spark, without_copies(rows), "labelled_once")
+    release(labelled)
     evidence = word_evidence(rows)
     empty = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.float32)
     if len({y for _, y, _ in evidence}) < 2:
@@ -275,6 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     seen = rows.select("text", F.col("label").cast("double").alias("label")).mapInArrow(
         measure, "a double, b double, c double, d double, label double").toPandas().to_numpy()
     seen = seen[np.lexsort(seen.T)]  # fits alike in whatever order the rows come
+    release(rows)
     model.curve = _machine(seen[:, :4], 2 * seen[:, 4] - 1, np.ones(len(seen)), 0.5, False)
     return model
 
