@@ -26,17 +26,22 @@ def clean_text(value: Column) -> Column:
 
 
 def clean_number(value: Column) -> Column:
-    """A numeric cell as text: integral numbers without a fraction, others rounded to two digits."""
-    fixed = F.round(value, 2).try_cast("decimal(38,2)").cast("string")
-    return F.when(~F.isnan(value), F.regexp_replace(fixed, r"\.?0+$", ""))
+    """A numeric cell as text: integral numbers without a fraction, others rounded to two digits.
+
+    Numbers beyond 36 digits, infinity included, keep the text of the double; only NaN is a blank.
+    """
+    fixed = F.regexp_replace(F.round(value, 2).try_cast("decimal(38,2)").cast("string"), r"\.?0+$", "")
+    return F.when(~F.isnan(value), F.coalesce(fixed, value.cast("string")))
 
 
 def plain_number(value: Column) -> Column:
-    """Shortest fixed-point text of a number with at most four decimals (``100``, ``12.5``).
+    """Shortest fixed-point text of a number with at most twelve decimals (``100``, ``12.5``, ``33.33333``).
 
-    Hash inputs use this form because engines print doubles differently.
+    Hash inputs use this form because engines print doubles differently. Numbers too large for it keep the text of the
+    double, so no change goes unseen.
     """
-    return F.regexp_replace(value.try_cast("decimal(38,4)").cast("string"), r"\.?0+$", "")
+    fixed = F.regexp_replace(value.try_cast("decimal(38,12)").cast("string"), r"\.?0+$", "")
+    return F.coalesce(fixed, value.cast("string"))
 
 
 def json_text(value: Column) -> Column:
@@ -80,6 +85,11 @@ def safe_numeric(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(_NUMERIC)), text.try_cast("decimal(18,4)"))
 
 
+def beyond_numeric(text: Column) -> Column:
+    """A number in plain notation that the stored type cannot hold."""
+    return F.coalesce(F.rlike(text, F.lit(_NUMERIC)) & text.try_cast("decimal(18,4)").isNull(), F.lit(False))
+
+
 def format_metric(text: Column) -> Column:
     """Thousands separators and two decimals, half away from zero."""
     number = F.when(F.rlike(text, F.lit(_NUMERIC)), text.try_cast("decimal(30,10)"))

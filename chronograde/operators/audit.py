@@ -71,8 +71,9 @@ def upload_stats(runs: DataFrame) -> DataFrame:
 def file_content(file_log: DataFrame, contents: DataFrame, upload_id: int | None = None) -> DataFrame:
     """Stored bytes of an upload; no row, null or empty content all count as missing."""
     rows = file_log if upload_id is None else file_log.filter(F.col("id") == upload_id)
-    stored = contents.filter(F.length("content") > 0).select("run_id", "path", F.col("content").alias("file_content"))
-    return rows.select("id", "file_name", "run_id", "path").join(stored, ["run_id", "path"]).drop("run_id", "path")
+    stored = contents.select("run_id", "path", F.col("content").alias("file_content"))
+    found = rows.select("id", "file_name", "run_id", "path").join(stored, ["run_id", "path"]).drop("run_id", "path")
+    return found.filter(F.length("file_content") > 0)
 
 
 def upload_report(file_log: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from chronograde import fixed_values as fv
 from chronograde import schemas
 from chronograde.functions.hashing import industry_hash, industry_vector_hash, joined_hash
-from chronograde.functions.text import calendar_year, parse_weight
+from chronograde.functions.text import beyond_numeric, calendar_year, parse_weight
 from chronograde.functions.timeline import Timeline
 
 ENTITY_COLUMNS = list(fv.ENTITY_FIELDS)
@@ -97,6 +97,9 @@ def transform_error() -> Column:
         years = F.transform(F.filter(F.map_keys(points), lambda y: y != "status"), calendar_year)
         return (F.size(F.array_distinct(years)) < F.size(years)) | F.exists(years, lambda y: y.isNull())
 
+    def too_large(points: Column) -> Column:
+        return F.exists(F.map_entries(points), lambda e: (e["key"] != "status") & beyond_numeric(e["value"]))
+
     all_points = F.coalesce(F.map_values("metrics"), F.array().cast("array<map<string,string>>"))
     has_fact = F.exists(all_points, lambda p: F.exists(F.map_keys(p), lambda y: y != "status"))
     return (
@@ -104,6 +107,7 @@ def transform_error() -> Column:
         .when(F.exists("industries", lambda i: i["sector"].isNull()), F.lit("Industry without a sector name"))
         .when(F.exists("industries", lambda i: i["weight"].isNull()), F.lit("Industry weight is not a number"))
         .when(F.exists(all_points, repeated_year), F.lit("Year label repeated or without digits"))
+        .when(F.exists(all_points, too_large), F.lit("Metric value has more than 14 digits before the point"))
         .when((F.size("industries") == 0) | ~has_fact, F.lit(fv.MSG_TRANSFORM))
     )
 

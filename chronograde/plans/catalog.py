@@ -110,7 +110,7 @@ def unreadable_files(spark, d):
 
 @query("""
 SELECT doc_id AS submission_id, concat('doc_', CAST(doc_id AS VARCHAR), '.xlsm') AS filename, 'SUCCESS' AS final_status,
-       'BEFORE EXTRACT' AS current_status, CAST(0 AS DECIMAL(6,3)) AS execution_duration_seconds,
+       'BEFORE EXTRACT' AS current_status, CAST(0 AS DECIMAL(18,3)) AS execution_duration_seconds,
        concat('{"file_size_bytes":', CAST(strlen(text) AS VARCHAR), ',"file_sha256_checksum":"', sha256(text),
               '","last_modified":"2024-01-01 00:00:00","absolute_path":"', source, '"}') AS file_metadata
 FROM documents""")
@@ -153,7 +153,7 @@ def submission_payload_json(spark, d):
 @query("""
 SELECT event_id AS submission_id, CASE WHEN event_type = 'error' THEN 'FAILURE' ELSE 'SUCCESS' END AS final_status,
        CASE WHEN event_type = 'error' THEN 'TRANSFORM FAILURE' ELSE 'SUBMISSION SUCCESS' END AS current_status,
-       CAST((epoch_us(ts) - epoch_us(date_trunc('minute', ts))) / CAST(1000000 AS DECIMAL(20,0)) AS DECIMAL(6,3)) AS execution_duration_seconds
+       CAST((epoch_us(ts) - epoch_us(date_trunc('minute', ts))) / CAST(1000000 AS DECIMAL(20,0)) AS DECIMAL(18,3)) AS execution_duration_seconds
 FROM events""")
 def submission_status_duration(spark, d):
     subs = fx.table(spark, d, "events").select(

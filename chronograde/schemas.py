@@ -44,7 +44,7 @@ PAYLOAD = T.StructType([
 
 SUBMISSIONS = _struct(
     submission_id=LONG, filename=STR, final_status=STR, current_status=STR, current_status_time=NTZ,
-    submitted_at=NTZ, execution_duration_seconds=T.DecimalType(6, 3), file_metadata=STR,
+    submitted_at=NTZ, execution_duration_seconds=T.DecimalType(18, 3), file_metadata=STR,
     parsed_data=STR, lineage_trace=STR, run_id=LONG,
 )
 AUDIT_LOG = _struct(

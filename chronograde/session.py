@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,9 +27,11 @@ _private: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; a private temporary one only if it is unset (tests)."""
+    """The folder ``spark.checkpoint.dir`` names; a private temporary one only on a local master where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _private:
             _private[app] = tempfile.mkdtemp(prefix="chronograde-")

@@ -138,12 +138,25 @@ class Store:
             stream.close()
 
     def _create(self, path: str, text: str) -> None:
+        """Writes a file under another name and renames it; fails if the name is taken, and readers never see a part of it.
+
+        The rename is atomic on HDFS and POSIX file systems; object stores need a committer of their own.
+        """
         fs, p = self._fs(path)
-        stream = fs.create(p, False)
+        jvm = self.spark._jvm
+        part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+        stream = fs.create(part, False)
         try:
             stream.write(bytearray(text, "utf-8"))
         finally:
             stream.close()
+        kinds = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            context.rename(part, p, self.spark.sparkContext._gateway.new_array(kinds, 0))
+        except Exception:
+            fs.delete(part, False)
+            raise
 
 
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:

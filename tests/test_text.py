@@ -70,3 +70,11 @@ def test_vector_hash_depends_on_order(spark):
     first, second, empty = [r[0] for r in df.select(hashing.industry_vector_hash(F.col("v"))).collect()]
     assert first == hashlib.md5(b"a|1|x,b|100|").hexdigest()
     assert first != second and empty is None
+
+
+def test_numbers_beyond_the_fixed_types_are_kept_or_reported(spark):
+    assert one(spark, text.clean_number(F.lit(1e37))) == "1.0E37"
+    assert one(spark, text.plain_number(F.lit(33.33333))) != one(spark, text.plain_number(F.lit(33.33334)))
+    assert one(spark, text.beyond_numeric(F.lit("123456789012345"))) is True
+    assert one(spark, text.beyond_numeric(F.lit("12345678901234"))) is False
+    assert one(spark, text.beyond_numeric(F.lit(None).cast("string"))) is False
