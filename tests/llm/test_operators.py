@@ -1,0 +1,352 @@
+"""Each operator against a brute-force version and on awkward rows."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from chronograde.llm import bpe, decontam, html_extract, line_dedup, packing, pii, simhash, topk, toxicity, warc
+from chronograde.llm.common import components, table
+
+SF = "/root/testdata/sf0.001"
+CLASHING = "doc_id bigint, text string, fp bigint, n int, words string, score double, component_id string"
+ODD = ["", None, "   ", "one", "A b C", "a b c", "x\ty\nz", "word " * 5000, "é ü ß 日本 😀", "a b c"]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, 1, 2, "w", 0.5, "c") for i, t in enumerate(ODD)] + [(None, "a b c", 1, 2, "w", 0.5, "c")]
+    return spark.createDataFrame(rows + rows[3:4], CLASHING)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], CLASHING)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, SF, "documents")
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    grams = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+    h = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def test_simhash_equals_brute_force(docs):
+    rows = [(r.doc_id, plain_fingerprint(r.text)) for r in docs.select("doc_id", "text").collect()]
+    parent = {d: d for d, _ in rows}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for i, (a, x) in enumerate(rows):
+        for b, y in rows[:i]:
+            if (x ^ y).bit_count() <= 3:
+                p, q = sorted((root(a), root(b)))
+                parent[q] = p
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.classes(docs).collect()}
+    assert got == {d: (f"{x:016x}", root(d)) for d, x in rows}
+
+
+def test_simhash_links_every_distance_up_to_three(spark):
+    rnd, base = random.Random(5), 0x0123456789ABCDEF
+    made = {base}
+    for k in range(60):
+        x = base
+        for b in rnd.sample(range(64), k % 5):
+            x ^= 1 << b
+        made.add(x)
+    signed = [x - (1 << 64) if x >> 63 else x for x in made]
+    got = {tuple(r) for r in simhash.links(spark.createDataFrame([(x,) for x in signed], "fp bigint")).distinct().collect()}
+    u = lambda x: x % (1 << 64)
+    assert got == {(a, b) for a in signed for b in signed if a < b and (u(a) ^ u(b)).bit_count() <= 3}
+
+
+def test_simhash_odd_rows(odd, none):
+    got = [tuple(r) for r in simhash.classes(odd).collect()]
+    assert len(got) == len(ODD) + 2
+    by = {g[0]: g for g in got}
+    assert by[0][1] == "0" * 16 and by[1][2] == by[2][2] == 0 and by[5][2] == by[9][2] == by[None][2] == 4
+    assert simhash.classes(none).count() == 0
+    kept = simhash.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)[:3] == [0, 3, 4]
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 99), (99, 60), (7, 7)], "a bigint, b bigint")
+    got = {r.node: r.root for r in components(spark, edges).collect()}
+    assert got == {**{i: 0 for i in range(1, 31)}, 99: 50, 60: 50}
+
+
+def test_main_text():
+    page = ('<html><header><h1>Site</h1></header><div class="cookie-notice">Cookies, ok.</div><div id=sidebar><p>Side, text.</p></div>'
+            '<div class="post"><h2>Title</h2><p>First &amp; more, with <a href=x>link</a> and words.<p>Second<br>line, longer.</div>'
+            '<div class="comments"><p>I disagree, strongly.</p></div><footer>c</footer></html>')
+    assert html_extract.main_text(page) == "Title First & more, with link and words. Second line, longer."
+    assert [html_extract.main_text(x) for x in (None, "", "<script>x</script>", "plain", "<p>a")] == ["", "", "", "plain", "a"]
+    assert html_extract.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
+
+
+def test_pages_keep_the_article(spark):
+    for r in html_extract.extract(table(spark, SF, "pages")).collect():
+        assert r.n_chars == len(r.text) and "&copy;" not in r.text and "<" not in r.text[:1]
+    empty = spark.createDataFrame([(1, None, None, "x"), (None, "u", "<p>a b", "y")], "page_id bigint, url string, html string, text string")
+    assert sorted(map(tuple, html_extract.extract(empty).collect()), key=str) == [(1, None, "", 0), (None, "u", "a b", 3)]
+
+
+def test_toxicity_learns_and_tolerates_insertions(spark):
+    rnd = random.Random(1)
+    clean = ["".join(rnd.choice(["ri", "sto", "gar", "den", "wi", "let", "mar", "su", "mer", "can"]) for _ in range(3)) for _ in range(600)]
+    rows, labels = [], []
+    for i in range(400):
+        words = [rnd.choice(clean) for _ in range(30)]
+        if toxic := i % 4 == 0:
+            words[rnd.randrange(30)] = rnd.choice(["blockhead", "nitwit"])
+            words[rnd.randrange(30)] = "blockhead"
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    docs, marks = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    got = {r.doc_id: r for r in toxicity.train_and_score(docs, marks).collect()}
+    held = [(got[i].score, t) for i, t in labels if got[i].held_out]
+    assert min(s for s, t in held if t) > max(s for s, t in held if not t)
+    model = toxicity.fit(docs, marks)
+    scorer = toxicity.Scorer(model)
+    plain, gapped, other = scorer.features(["a garsto blockhead", "a garsto block-xhead", "a garsto windenri"])[:, 0]
+    assert plain > 0 and gapped > other
+    assert scorer.features([None, ""]).shape == (2, 4)
+
+
+def test_toxicity_odd_rows(spark, odd, none):
+    marks = spark.createDataFrame([(3, None), (4, 1), (4, 1), (5, 0), (None, 1)], "doc_id bigint, toxic int")
+    got = toxicity.train_and_score(odd, marks).collect()
+    assert len(got) == len(ODD) + 2 and all(0 <= r.score <= 1 for r in got)
+    assert toxicity.train_and_score(none, marks).count() == 0
+    assert toxicity.keep_clean(odd, marks.limit(0)).columns == odd.columns
+
+
+FORMS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_spans(text):
+    out = []
+    for place, (kind, form) in enumerate(FORMS.items()):
+        for m in re.finditer(form, text or ""):
+            d = [int(c) for c in m[0] if c.isdigit()]
+            luhn = sum(x * 2 - 9 * (x > 4) if i % 2 else x for i, x in enumerate(reversed(d))) % 10 == 0
+            if {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")),
+                    "card": 12 <= len(d) <= 19 and luhn, "phone": 9 <= len(d) <= 15}[kind]:
+                out.append((m.start(), place, kind, m.end()))
+    return sorted(out)
+
+
+def test_pii_base_spans(spark, odd, none):
+    texts = ["a@b.c._x@d.e a@b..c @x.y q@-.-", "1.2.3.4.5.6.7.8 256.1.1.1 0001.2.3.4", "4111 1111 1111 1111 41111111111111111111",
+             "+1 (456) 555-2186 ++12345678901", "é😀 x@y.zz 😀 1.1.1.1 +49 123 4567890", "1.1.1.1 " * 600, "1 " * 1500] + ODD
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for r in pii.find(docs).collect():
+        spans = plain_spans(texts[r.doc_id])
+        told = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
+        assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[2] == k for s in spans) for k in FORMS)
+        assert set(told.split(",")) <= set(r.spans.split(","))
+    assert pii.find(odd).count() == len(ODD) + 2 and pii.find(none).count() == 0
+
+
+def test_pii_finds_unseen_identifiers(spark):
+    rows = [(i, f"lorem ipsum customermail u{i}@mail.example.com dolor") for i in range(20)] + [(90, "see customermail jo.1977#corp now")]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[90] == "email:17:29"
+
+
+def test_topk_equals_full_evaluation(spark, docs):
+    rows = {r.doc_id: topk.words_of(r.text) for r in docs.select("doc_id", "text").collect()}
+    n, mean = len(rows), sum(map(len, rows.values())) / len(rows)
+    tf = {d: {w: ws.count(w) for w in set(ws)} for d, ws in rows.items()}
+    df = {}
+    for t in tf.values():
+        for w in t:
+            df[w] = df.get(w, 0) + 1
+    got = topk.top_k(docs, docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")).collect()
+    for q in (d for d in rows if d % 50 == 0):
+        score = {d: sum(c * np.log(1 + (n - df[w] + .5) / (df[w] + .5)) * t[w] * 2.2 / (t[w] + 1.2 * (.25 + .75 * len(rows[d]) / mean))
+                        for w, c in tf[q].items() if w in t) for d, t in tf.items()}
+        best = sorted(((-round(s, 9), d) for d, s in score.items() if s > 0))[:10]
+        assert [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [d for _, d in best]
+
+
+def test_topk_odd_rows(odd, none):
+    ask = odd.select(F.col("doc_id").alias("query_id"), "text")
+    got = topk.top_k(odd, ask).collect()
+    assert {r.query_id for r in got} == {3, 4, 5, 6, 7, 8, 9}
+    assert topk.top_k(none, ask).count() == 0
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [(3, "u\r\n", "é" * 100), (1, None, "same"), (2, "v", "same"), (4, "w", None), (5, "x", ""), (6, "y", "a\r\n\r\nWARC/1.1\r\n"), (2, "v", "same"), (None, "n", "q")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    chunks = warc.write_records(pages, chunk=16).cache()
+    got = {r.page_id: tuple(r)[1:] for r in warc.read_records(chunks).collect()}
+    digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+    kind = {2: ("revisit", 1), 5: ("revisit", 4)}
+    assert got == {i: (len((t or "").encode()), digest(t), *kind.get(i, ("response", None))) for i, _, t in rows if i is not None}
+    assert warc.read_records(chunks.limit(0)).count() == 0
+    archive = chunks.first()["archive"]
+    warc.export(chunks, archive, str(tmp_path / "a.warc"))
+    assert (tmp_path / "a.warc").read_bytes().startswith(b"WARC/1.1\r\nWARC-Type: ")
+    with pytest.raises(Exception, match="digest|cut off"):
+        warc.read_records(chunks.withColumn("data", F.when(F.col("chunk") == 1, F.expr("cast(repeat('z', octet_length(data)) as binary)")).otherwise(F.col("data")))).collect()
+
+
+def test_packing_is_lossless(spark, odd, none):
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encode = packing.encoding(path, pattern).encode_ordinary
+    texts = {i: t for i, t in enumerate(ODD)}
+    parts = {}
+    for r in packing.pack(odd, path, pattern, length=64, shard_tokens=500).collect():
+        ids, place = np.frombuffer(r.input_ids, "<u4"), np.frombuffer(r.position_ids, "<u4")
+        assert len(ids) == len(place) == 64 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 64
+        for d, p, a, b in zip(r.doc_ids, r.pieces, r.cu_seqlens, r.cu_seqlens[1:]):
+            assert place[a:b].tolist() == list(range(b - a))
+            parts.setdefault((d, p), ids[a:b].tolist())
+    for d, t in texts.items():
+        assert sum((parts[k] for k in sorted(k for k in parts if k[0] == d)), []) == encode(t or "")
+    assert packing.pack(none, path, pattern).count() == 0
+
+
+def test_best_fit_matches_a_plain_search():
+    rnd = random.Random(2)
+    sizes = sorted((rnd.randrange(1, 101) for _ in range(500)), reverse=True)
+    room, count = [], 0
+    for s in sizes:
+        fit = min((r for r in room if r >= s), default=None)
+        if fit is None:
+            room.append(100 - s)
+        else:
+            room.remove(fit)
+            room.append(fit - s)
+    packed = packing.best_fit(sizes, 100)
+    assert len(packed) == len(room) and sorted(100 - sum(sizes[k] for k in p) for p in packed) == sorted(room)
+
+
+def test_bpe_equals_the_library(spark, docs, odd, none):
+    path = corpus_pipeline.TOKENIZER
+    own = Tokenizer.from_file(path)
+    rnd = random.Random(3)
+    texts = [r.text for r in docs.limit(60).collect()] + ODD + ["It's I'll ''s", "<|startoftext|>hi<|endoftext|> <|", "a\x1cb c\x85d", "ΣΑΣ İ ǅ ²½Ⅷ", "x̀́y K Å", "a" * 3000]
+    texts += ["".join(chr(rnd.choice([rnd.randrange(32, 127), rnd.randrange(0x80, 0x600), 32, 39, 0x2028, 0x1F600])) for _ in range(20)) for _ in range(300)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    name = bpe.ship_lexicon(spark, frame, path, words=500)
+    for r in bpe.encode(frame, path, name).collect():
+        want = own.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
+        assert r.decoded == own.decode(want, skip_special_tokens=False)
+    assert bpe.encode(odd, path, name).count() == len(ODD) + 2 and bpe.encode(none, path, name).count() == 0
+
+
+def test_automaton_is_minimal_and_complete():
+    words = sorted(w.encode() for w in {"tap", "taps", "top", "tops", "stop", "stops", "é"})
+    arrays = bpe.build_automaton(words)
+    lexicon = bpe.Lexicon({**arrays, "offsets": None, "ids": None})
+    assert lexicon.find([w.decode() for w in words]).tolist() == list(range(len(words)))
+    assert lexicon.find(["ta", "", "tapsx", "z"]).tolist() == [-1] * 4
+    assert len(arrays["final"]) < sum(map(len, words)) / 2
+
+
+def plain_later(rows):
+    seen, out = [], set()
+    for d, i, line in sorted(rows):
+        words = frozenset(w for w in re.split(r"[ \t\r\x0b\x0c]+", line.lower()) if w)
+        if len(words) >= 5:
+            if any(len(words & o) >= 0.8 * len(words | o) - 1e-9 for o in seen):
+                out.add((d, i))
+            seen.append(words)
+    return out
+
+
+def test_line_dedup_equals_brute_force(spark):
+    rnd = random.Random(4)
+    base = [[f"w{rnd.randrange(40)}" for _ in range(rnd.choice([5, 6, 8, 12, 25]))] for _ in range(12)]
+    docs = []
+    for d in range(60):
+        lines = []
+        for _ in range(4):
+            line = list(rnd.choice(base))
+            for _ in range(rnd.randrange(4)):
+                line[rnd.randrange(len(line))] = f"w{rnd.randrange(60)}"
+            lines.append(rnd.choice(["", "  "]) + " ".join(line).upper() if rnd.random() < .3 else "\t".join(line))
+        docs.append((d, "\n".join(lines)))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {tuple(r) for r in line_dedup.similar_lines(frame).collect()}
+    assert got == plain_later([(d, i, x) for d, t in docs for i, x in enumerate(t.split("\n"))])
+
+
+def test_line_dedup_odd_rows(spark, odd, none):
+    more = spark.createDataFrame([(20, "p q r s t u\nshort", 0, 0, "", .0, ""), (21, "keep\nP q r s t u", 0, 0, "", .0, ""), (22, "p q r s t u", 0, 0, "", .0, "")], CLASHING)
+    out = line_dedup.remove_later(odd.union(more))
+    assert out.columns == odd.columns and out.count() == len(ODD) + 5
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert (got[20], got[21], got[22], got[1], got[3]) == ("p q r s t u\nshort", "keep", "", None, "one")
+    assert line_dedup.remove_later(none).count() == 0
+
+
+def test_common_subsequence():
+    def plain(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+            row = new
+        return row[-1]
+
+    rnd = random.Random(6)
+    for _ in range(200):
+        a, b = ([rnd.choice("abcde") for _ in range(rnd.randrange(1, 30))] for _ in range(2))
+        assert decontam.common_length(a, b) == plain(a, b)
+
+
+def test_decontamination_finds_leaks_only(spark, odd, none):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    common = [word() for _ in range(60)]
+    prose = lambda n: [rnd.choice(common) if rnd.random() < .6 else word() for _ in range(n)]
+    items = [(i, prose(30)) for i in range(12)]
+    rows = [(d, prose(300)) for d in range(120)]
+    for i, w in items:
+        changed = [x if k % 7 else word() for k, x in enumerate(w)] if i % 2 else w
+        rows[i][1][100:100] = changed
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(w), "x") for i, w in items] + [(50, None, "x"), (51, "", "x"), (None, "q", "x")], "item_id bigint, text string, cosine string")
+    assert {(r.doc_id, r.item_id) for r in decontam.matches(docs, bench).collect()} == {(i, i) for i in range(12)}
+    assert decontam.matches(none, bench).count() == 0 and decontam.matches(odd, bench.limit(0)).count() == 0
+    assert decontam.keep_uncontaminated(odd, bench).count() == odd.count()
+
+
+def test_pipeline_stages(spark):
+    docs = table(spark, SF, "documents")
+    before, rows = docs.count(), docs
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        rows = step(spark, rows, SF)
+        assert rows.columns == docs.columns, name
+    last = corpus_pipeline.STAGES[-1][1](spark, rows, SF)
+    assert 0 < last.count() < before
