@@ -32,12 +32,19 @@ def release(*staged: DataFrame) -> None:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        tidy(df.sparkSession)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Lets the driver forget finished steps now, not at its next full collection: Spark then deletes their shuffle files."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def by_word(spark: SparkSession, df: DataFrame, key: str = "word") -> DataFrame:
     """Writes rows as a table in buckets of ``key`` and reads it back: later groupings and joins by the key need no shuffle."""
     name, n = f"llm_{key}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).saveAsTable(name)
+    tidy(spark)
     return spark.table(name)
 
 
