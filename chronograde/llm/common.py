@@ -40,12 +40,12 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def by_word(spark: SparkSession, df: DataFrame, key: str = "word") -> DataFrame:
-    """Writes rows as a table in buckets of ``key`` and reads it back: later groupings and joins by the key need no shuffle."""
+def by_word(spark: SparkSession, df: DataFrame, key: str = "word") -> tuple[str, DataFrame]:
+    """Writes rows as a table in buckets of ``key``: later groupings and joins by the key need no shuffle. The caller drops it by its name."""
     name, n = f"llm_{key}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).saveAsTable(name)
     tidy(spark)
-    return spark.table(name)
+    return name, spark.table(name)
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
