@@ -342,6 +342,22 @@ def test_decontamination_finds_leaks_only(spark, odd, none):
     assert decontam.keep_uncontaminated(odd, bench).count() == odd.count()
 
 
+def test_decontamination_finds_leaks_deep_in_long_texts(spark):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    common = [word() for _ in range(60)]
+    prose = lambda n: [rnd.choice(common) if rnd.random() < .6 else word() for _ in range(n)]
+    items = [prose(30) for _ in range(8)]
+    places = [50, 8_185, 20_011, 60_007, 100_003, 130_009, 150_001, 164_970]
+    long = prose(165_000)
+    for w, at in zip(items, places):
+        long[at:at + len(w)] = w
+    assert len(long) == 165_000
+    docs = spark.createDataFrame([(0, " ".join(long))] + [(d, " ".join(prose(300))) for d in range(1, 40)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id, r.overlap) for r in decontam.matches(docs, bench).collect()} == {(0, i, 1.0) for i in range(8)}
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     before, rows = docs.count(), docs
