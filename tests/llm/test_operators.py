@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from chronograde.llm import bpe, decontam, html_extract, line_dedup, packing, pii, simhash, topk, toxicity, warc
+from chronograde.llm import bpe, decontam, html_extract, line_dedup, near_dup, packing, pii, simhash, topk, toxicity, warc
 from chronograde.llm.common import components, table
 
 SF = "/root/testdata/sf0.001"
@@ -358,6 +358,49 @@ def test_decontamination_finds_leaks_deep_in_long_texts(spark):
     assert {(r.doc_id, r.item_id, r.overlap) for r in decontam.matches(docs, bench).collect()} == {(0, i, 1.0) for i in range(8)}
 
 
+def plain_firsts(rows, width=5, threshold=0.8):
+    """Smallest id of each component of rows whose shingle sets are similar."""
+    sets = []
+    for d, t in sorted(rows):
+        w = (t or "").lower().split()
+        sets.append((d, frozenset(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()))
+    parent = {d: d for d, _ in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if x == y or len(x & y) >= threshold * len(x | y) - 1e-9 and x | y:
+                p, q = sorted((root(a), root(b)))
+                parent[q] = p
+    return sorted(d for d in parent if root(d) == d)
+
+
+def test_near_duplicates_equal_brute_force(spark, docs, odd, none):
+    rnd = random.Random(12)
+    word = lambda: f"w{rnd.randrange(400)}"
+    rows = []
+    for d in range(40):
+        base = [word() for _ in range(rnd.choice([3, 12, 60, 130, 200]))]
+        rows.append((10 * d, " ".join(base)))
+        for k in range(1, 7):  # one to six changed words, each on top of the one before
+            base[rnd.randrange(len(base))] = word()
+            rows.append((10 * d + k, " ".join(base)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = plain_firsts(rows)
+    assert 40 < len(want) < len(rows) - 100
+    step = dict(corpus_pipeline.STAGES)["near-duplicates"]
+    assert sorted(r.doc_id for r in step(spark, frame, SF).collect()) == want
+    assert sorted(r.doc_id for r in step(spark, docs, SF).collect()) == plain_firsts([(r.doc_id, r.text) for r in docs.collect()])
+    assert step(spark, none, SF).count() == 0
+    kept = step(spark, odd, SF)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 3, 4, 6, 7, 8]
+
+
 def test_pipeline_stages(spark):
     docs = table(spark, SF, "documents")
     before, rows = docs.count(), docs
