@@ -309,6 +309,24 @@ def test_line_dedup_odd_rows(spark, odd, none):
     assert line_dedup.remove_later(none).count() == 0
 
 
+def test_pipeline_removes_repeated_lines_of_any_size(spark):
+    rnd = random.Random(14)
+    line = lambda: rnd.choice(["", " "]) + " ".join(f"w{rnd.randrange(6)}" for _ in range(rnd.choice([0, 1, 2, 3, 4, 5, 6])))
+    rows = [(d, "\n".join(line() for _ in range(5))) for d in range(80)] + [(80, "les.\nun deux"), (81, "\nles.\n\t\nUn  deux")]
+    gone, seen = set(), []
+    for d, t in rows:
+        for i, x in enumerate(t.split("\n")):
+            words = frozenset(x.lower().split())
+            if words and any(len(words & o) >= 0.8 * len(words | o) - 1e-9 for o in seen):
+                gone.add((d, i))
+            seen.append(words)
+    want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in rows}
+    assert want[81] == "\n\t"
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = dict(corpus_pipeline.STAGES)["line dedup"](spark, frame, SF)
+    assert {r.doc_id: r.text for r in got.collect()} == want
+
+
 def test_common_subsequence():
     def plain(a, b):
         row = [0] * (len(b) + 1)
