@@ -11,9 +11,26 @@ def route(outcome: Column) -> Column:
     return F.when(F.lower(outcome) == "success", "archive").otherwise("dlq")
 
 
-def write_routed(files: DataFrame, path: str, mode: str = "append") -> None:
-    """Write files into one folder per route."""
-    files.withColumn("route", route(F.col("outcome"))).write.mode(mode).partitionBy("route").parquet(path)
+def write_routed(files: DataFrame, path: str) -> None:
+    """Write the files of one or more runs into one folder per route and run; a run written again replaces itself."""
+    (
+        files.withColumn("route", route(F.col("outcome"))).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "route").parquet(path)
+    )
+
+
+def close_events(events: DataFrame, updates: DataFrame) -> DataFrame:
+    """Audit events after updates by id, which set status, record count, error and end.
+
+    ``updates(id, execution_status, processed_records, error_message, completed_at)``: of several for one id the latest counts
+    (of equal times the greatest row). Updates of unknown ids change nothing; events without an update stay as they are.
+    """
+    fields = ["completed_at", "execution_status", "processed_records", "error_message"]
+    latest = updates.groupBy("id").agg(F.max(F.struct(*fields)).alias("_u"))
+    closed = events.join(latest, "id", "left")
+    return closed.select(*[
+        F.when(F.col("_u").isNotNull(), F.col(f"_u.{c}")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c) for c in events.columns
+    ])
 
 
 def run_counts(files: DataFrame) -> DataFrame:

@@ -17,6 +17,11 @@ def repeated_current(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
     return repeated_keys(dim.filter("is_current"), keys)
 
 
+def among(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is one of the given keys."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose parent key does not exist."""
     return child.join(parent.select(key), key, "left_anti")

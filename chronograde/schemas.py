@@ -84,6 +84,8 @@ FILE_LOG = _struct(
 FILE_CONTENTS = _struct(
     run_id=LONG, path=STR, filename=STR, file_size=LONG, modified_at=NTZ, checksum=STR, content=T.BinaryType(),
 )
+# Contents that were loaded successfully, by checksum: what the duplicate test needs of all earlier batches.
+KNOWN_CONTENTS = _struct(checksum=STR, submission_id=LONG)
 
 TABLES = {
     "submissions": SUBMISSIONS,
@@ -96,4 +98,5 @@ TABLES = {
     "pipeline_runs": RUNS,
     "pipeline_file_details": FILE_LOG,
     "pipeline_file_contents": FILE_CONTENTS,
+    "known_contents": KNOWN_CONTENTS,
 }

@@ -1,24 +1,32 @@
-"""Parquet tables with atomic multi-table commits.
+"""Parquet tables with atomic multi-table commits, laid out by key.
 
 Data files are written first, each write into a folder of its own; a commit is the exclusive creation of
 the next manifest file, which lists the folders of every table. Readers use the newest manifest, so they
 see all tables of a batch or none, and a job that dies half way leaves nothing visible. Works on any file
 system Spark can reach.
+
+Rows that a later batch may change or look up by key lie in partitions of a hash of that key
+(:meth:`Store.bucket`). A batch names the buckets its keys fall in; it reads only their folders and replaces only their entries
+in the manifest. Spark's own dynamic overwrite of such partitions would move them one after the other, table after table, so a
+reader could see half a batch; the manifest swaps them all at once.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
-from dataclasses import dataclass
+from collections.abc import Collection
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronograde import schemas
 from chronograde.session import shared_folder
 
 OPEN, CLOSED = "open", "closed"
+BUCKETS = 64
 
 # Versioned tables are read by key. History plans leave rows sorted by entity inside each file, so page
 # statistics prune within a file; Bloom filters let equality lookups skip whole files.
@@ -27,17 +35,32 @@ LOOKUPS = ("natural_key", "entity_key", "profile_key")
 
 @dataclass(frozen=True)
 class Write:
-    """``append`` adds rows (a folder from :meth:`Store.put`, or data). ``versioned`` replaces the open rows and adds the closed ones, told apart by
-    the boolean column ``flag``; rows closed earlier are never read or rewritten."""
+    """What a commit does to a table.
+
+    ``append`` adds rows (a folder from :meth:`Store.put`, or data). ``keyed`` adds rows that carry their ``key_bucket``.
+    ``versioned`` rows carry it too and are told apart by the boolean column ``flag``: open rows replace the stored open rows of
+    the buckets in ``touched`` (all buckets if None), closed rows are added; rows closed earlier are never read or rewritten.
+    """
 
     data: DataFrame | str
     kind: str = "append"
     flag: str = "is_current"
+    touched: Collection[int] | None = None
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    """``buckets`` counts the key partitions of a new store; a store that exists keeps its own number."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
         self.spark, self.root = spark, root.rstrip("/")
+        self.buckets = self.manifest().get("buckets", buckets)
+
+    def bucket(self, key: str | Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def touched(self, rows: DataFrame, key: str) -> list[int]:
+        """The buckets that the keys of a batch fall in, at most ``buckets`` numbers."""
+        return sorted(r[0] for r in rows.select(self.bucket(key).alias("b")).distinct().collect())
 
     # -- reading ---------------------------------------------------------------------------------
 
@@ -59,13 +82,15 @@ class Store:
             whole = whole.unionByName(f)
         return whole
 
-    def read_part(self, table: str, part: str) -> DataFrame:
-        """Only the open or only the closed rows of a versioned table."""
+    def read_open(self, table: str, buckets: Collection[int] | None = None) -> DataFrame:
+        """Only the open rows of a versioned table or the rows of a keyed one, and of these only the given buckets' folders."""
         schema = schemas.TABLES[table]
-        paths = self.manifest()["tables"].get(table, {}).get(part, [])
+        paths = self.manifest()["tables"].get(table, {}).get(OPEN, [])
+        if buckets is not None:
+            paths = [p for p in paths if _bucket_of(p) in set(buckets)]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self._load(paths, schema, "is_current", part == OPEN)
+        return self._load(paths, schema, "is_current", True)
 
     def _load(self, paths: list[str], schema, flag: str, is_open: bool) -> DataFrame:
         rows = self.spark.read.schema(schema).parquet(*[f"{self.root}/{p}" for p in paths])
@@ -83,28 +108,40 @@ class Store:
     def open_folder(self, table: str, folder: str) -> DataFrame:
         return self._load([folder], schemas.TABLES[table], "is_current", True)
 
+    def prepare(self, table: str, write: Write) -> Write:
+        """Write a table's rows now; they become visible when a later commit gets the returned write."""
+        if isinstance(write.data, str):
+            return write
+        if write.kind == "append":
+            return replace(write, data=self.put(table, write.data))
+        folder = f"data/{table}/{uuid.uuid4().hex}"
+        flag = F.when(F.col(write.flag), OPEN).otherwise(CLOSED) if write.kind == "versioned" else F.lit(OPEN)
+        columns = [c for c in schemas.TABLES[table].fieldNames() if write.kind == "keyed" or c != write.flag]
+        rows = write.data.select(*columns, flag.alias("_part"), F.col("key_bucket").alias("_bucket")).withColumn(
+            "_bucket", F.when(F.col("_part") == OPEN, F.col("_bucket")).otherwise(F.lit(-1)))
+        # Gathers a bucket's rows in few files; adaptive execution splits a bucket that is too large for one task.
+        out = rows.hint("rebalance", F.col("_part"), F.col("_bucket")).write.partitionBy("_part", "_bucket")
+        for column in LOOKUPS:
+            if column in columns:
+                out = out.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        out.parquet(f"{self.root}/{folder}")
+        return replace(write, data=folder)
+
     def commit(self, writes: dict[str, Write], marks: dict | None = None, expect: int | None = None) -> int:
         """Write all tables, then publish them together. Fails if another commit came first."""
         before = self.manifest()
         version = (before["version"] if expect is None else expect) + 1
         tables = {t: {p: list(v) for p, v in parts.items()} for t, parts in before["tables"].items()}
         for table, write in writes.items():
-            parts = tables.setdefault(table, {OPEN: [], CLOSED: []})
+            parts, folder = tables.setdefault(table, {OPEN: [], CLOSED: []}), self.prepare(table, write).data
             if write.kind == "append":
-                parts[OPEN].append(write.data if isinstance(write.data, str) else self.put(table, write.data))
-            else:
-                folder = f"data/{table}/{uuid.uuid4().hex}"
-                flag = F.when(F.col(write.flag), OPEN).otherwise(CLOSED)
-                columns = [c for c in schemas.TABLES[table].fieldNames() if c != write.flag]
-                out = write.data.select(*columns, flag.alias("_part")).write.partitionBy("_part")
-                for column in LOOKUPS:
-                    if column in columns:
-                        out = out.option(f"parquet.bloom.filter.enabled#{column}", "true")
-                out.parquet(f"{self.root}/{folder}")
-                parts[OPEN] = [f"{folder}/_part={OPEN}"] if self._exists(f"{folder}/_part={OPEN}") else []
-                if self._exists(f"{folder}/_part={CLOSED}"):
-                    parts[CLOSED].append(f"{folder}/_part={CLOSED}")
-        body = {"version": version, "tables": tables, "marks": {**before["marks"], **(marks or {})}}
+                parts[OPEN].append(folder)
+                continue
+            if write.kind == "versioned":
+                parts[OPEN] = [p for p in parts[OPEN] if write.touched is not None and _bucket_of(p) not in set(write.touched)]
+            parts[OPEN] += [f"{folder}/_part={OPEN}/{name}" for name in self._names(f"{folder}/_part={OPEN}")]
+            parts[CLOSED] += [f"{folder}/_part={CLOSED}/{name}" for name in self._names(f"{folder}/_part={CLOSED}")]
+        body = {"version": version, "buckets": self.buckets, "tables": tables, "marks": {**before["marks"], **(marks or {})}}
         self._create(self._manifest_path(version), json.dumps(body))
         return version
 
@@ -118,15 +155,12 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf), p
 
-    def _exists(self, relative: str) -> bool:
+    def _names(self, relative: str) -> list[str]:
         fs, p = self._fs(f"{self.root}/{relative}")
-        return fs.exists(p)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
     def _versions(self) -> list[int]:
-        fs, p = self._fs(f"{self.root}/manifests")
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        names = self._names("manifests")
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def _read(self, path: str) -> str:
@@ -159,6 +193,10 @@ class Store:
             raise
 
 
+def _bucket_of(path: str) -> int:
+    return int(re.search(r"/_bucket=(-?\d+)$", path).group(1))
+
+
 def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write an intermediate result to the shared checkpoint folder and read it back.
 
@@ -168,6 +206,8 @@ def stage(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder or scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if folder is None:
+        discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -176,6 +216,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
 
 
+def discard_at_exit(spark: SparkSession, folder: str) -> None:
+    """Delete a folder when the driver ends: results that are still to be read derive from it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     """Delete the scratch folder of a finished batch."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -16,16 +16,18 @@ from chronograde.sources.store import Store
 
 
 def ingest_folder(
-    spark: SparkSession, folder: str, store: Store, rules: RuleSet, now: datetime, anchor: str = fv.METRICS_ANCHOR
+    spark: SparkSession, folder: str, store: Store, rules: RuleSet, now: datetime, anchor: str = fv.METRICS_ANCHOR,
+    routed: str | None = None,
 ) -> int | None:
-    """One run over everything in the folder; no files, no run."""
+    """One run over everything in the folder; no files, no run. ``routed`` names the folder for the files by route."""
     run_id = store.manifest()["marks"].get("run_id", 0) + 1
-    return ingest(store, discover(spark, folder), rules, now, run_id, anchor)
+    return ingest(store, discover(spark, folder), rules, now, run_id, anchor, routed=routed)
 
 
 def drain(
     spark: SparkSession, folder: str, store: Store, rules: RuleSet, checkpoint: str,
     clock: Callable[[], datetime] = datetime.now, anchor: str = fv.METRICS_ANCHOR, files_per_batch: int = 1000,
+    routed: str | None = None,
 ) -> StreamingQuery:
     """``availableNow`` stream into the store.
 
@@ -36,7 +38,7 @@ def drain(
         marks = store.manifest()["marks"]
         if marks.get("stream_batch", -1) >= batch_id:
             return
-        ingest(store, batch, rules, clock(), marks.get("run_id", 0) + 1, anchor, {"stream_batch": batch_id})
+        ingest(store, batch, rules, clock(), marks.get("run_id", 0) + 1, anchor, {"stream_batch": batch_id}, routed)
 
     return (
         discover_stream(spark, folder, files_per_batch)
