@@ -4,25 +4,47 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronograde.session import shared_folder
+from chronograde.sources.store import discard, discard_at_exit
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_the_write(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of a write when the write ends: what comes later reads the written table."""
+    before = spark.conf.get(_CLEANUP, None)
+    if before is not None:  # a Spark that does not know the setting keeps them until the driver forgets the plan
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Writes a result that several branches read to the shared folder and reads it back.
 
-    A lost executor then costs a re-read, not a recomputation, and columns are pruned on the way back.
+    A lost executor then costs a re-read, not a recomputation, and columns are pruned on the way back. The folder goes when it
+    is released or the driver ends.
     """
     path = f"{shared_folder(spark)}/llm-{re.sub(r'[^A-Za-z0-9_]', '_', name)}-{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    with shuffles_end_with_the_write(spark):
+        writer.parquet(path)
+    discard_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -30,22 +52,19 @@ def release(*staged: DataFrame) -> None:
     """Deletes the folders of staged results that nothing will read again."""
     for df in staged:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-        tidy(df.sparkSession)
-
-
-def tidy(spark: SparkSession) -> None:
-    """Lets the driver forget finished steps now, not at its next full collection: Spark then deletes their shuffle files."""
-    spark.sparkContext._jvm.System.gc()
+            discard(df.sparkSession, folder)
 
 
-def by_word(spark: SparkSession, df: DataFrame, key: str = "word") -> tuple[str, DataFrame]:
-    """Writes rows as a table in buckets of ``key``: later groupings and joins by the key need no shuffle. The caller drops it by its name."""
+@contextmanager
+def by_word(spark: SparkSession, df: DataFrame, key: str = "word") -> Iterator[DataFrame]:
+    """Rows as a table in buckets of ``key``, dropped in the end: groupings and joins by the key need no further shuffle."""
     name, n = f"llm_{key}_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).saveAsTable(name)
-    tidy(spark)
-    return name, spark.table(name)
+    try:
+        with shuffles_end_with_the_write(spark):
+            df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:

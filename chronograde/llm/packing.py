@@ -108,9 +108,8 @@ def pack(docs: DataFrame, path: str, pattern: str, length: int = LENGTH, shard_t
     and ``pieces`` name the segments. Null, empty and tokenless texts have no piece. Null ids are kept as null.
     Repeated rows are packed as often as they occur; further columns are ignored.
     """
-    spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
-    shards = max(spark.sparkContext.defaultParallelism, -(-total // (2 * shard_tokens)))  # about two bytes a token
+    shards = max(1, -(-total // (2 * shard_tokens)))  # about two bytes a token; the table alone decides, never the cluster
     dealt = pieces(docs, path, pattern, length, shards).repartition(shards, "shard") \
         .sortWithinPartitions("shard", F.desc("size"), "doc_id", "piece", "ids")
 

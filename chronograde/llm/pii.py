@@ -19,14 +19,17 @@ KINDS = ("email", "ip", "card", "phone")
 #: Fixed formats. Atomic runs and the start conditions only save retries that cannot succeed; matches are the same.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 MARK = {"email": "@", "phone": "+"}
 #: A word that could be an identifier: at least six characters, one of them a digit or an at sign.
 CANDIDATE = r"(?<!\S)(?:[^\s0-9@]*+)[0-9@]\S*+"
+#: Characters next to a span in which a whole neighbouring word must stand to be a pattern.
 CONTEXT = 64
+#: Characters of a piece that texts are cut into to look at places in them; more than a context.
+CELL = 256
 ROUNDS = 4
 #: A pattern is used if so many different seeds support it and so large a share of its occurrences is good.
 SUPPORT = 4
@@ -93,17 +96,36 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _word(context: Column, last: bool) -> Column:
-    w = F.lower(F.regexp_extract(context, r"(\S+)\s*$" if last else r"^\s*(\S+)", 1))
-    return F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", "")
+def _bare(word: Column) -> Column:
+    return F.regexp_replace(F.lower(word), r"^[^\p{L}]++|(?<=\p{L})[^\p{L}]++$", "")
+
+
+def _cells(text: Column) -> Column:
+    """A text in pieces of ``CELL`` characters, so that a place in it is found without counting from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CELL}}}"), F.lit(0))
+
+
+def _between(cells: Column, start: Column, long: int) -> Column:
+    """``long`` characters from ``start`` on (fewer at the text's ends), at most ``CELL``; before the start there are none."""
+    first = F.greatest(start, F.lit(0))
+    at = F.floor(first / CELL).cast("int")
+    both = F.concat(F.coalesce(F.get(cells, at), F.lit("")), F.coalesce(F.get(cells, at + 1), F.lit("")))
+    return F.substring(both, (first - at * CELL + 1).cast("int"), (F.lit(long) + F.least(start, F.lit(0))).cast("int"))
+
+
+def _neighbours(cells: Column, start: Column, end: Column) -> list[Column]:
+    """The bare words before and after a span, empty where none ends within ``CONTEXT`` characters."""
+    # One character more than a context: a word that reaches its edge does not end there, and is no pattern.
+    before, after = _between(cells, start - CONTEXT - 1, CONTEXT + 1), _between(cells, end, CONTEXT + 1)
+    left = F.regexp_extract(F.when(start > CONTEXT, before).otherwise(F.concat(F.lit(" "), before)), r"\s(\S++)\s*$", 1)
+    right = F.regexp_extract(F.when(F.length(after) > CONTEXT, after).otherwise(F.concat(after, F.lit(" "))), r"^\s*+(\S++)\s", 1)
+    return [_bare(left).alias("l"), _bare(right).alias("r")]
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
-    """One row for each pattern next to a span: ``pattern`` is the side and the neighbouring word."""
-    around = rows.withColumn("l", _word(F.substring(F.col("text"), F.greatest(F.lit(1), F.col("start") + 1 - CONTEXT), F.least(F.lit(CONTEXT), F.col("start"))), True)) \
-        .withColumn("r", _word(F.substring(F.col("text"), F.col("end") + 1, F.lit(CONTEXT)), False))
-    return around.select("key", "kind", "value", "start", "end", "seed", F.explode(F.array(
-        F.struct(F.lit("<").alias("side"), F.col("l").alias("word")), F.struct(F.lit(">").alias("side"), F.col("r").alias("word")))).alias("p")) \
+    """One row for each pattern next to a span: ``side`` and ``word``, the neighbouring word."""
+    sides = F.array(F.struct(F.lit("<").alias("side"), F.col("l").alias("word")), F.struct(F.lit(">").alias("side"), F.col("r").alias("word")))
+    return rows.select("key", "kind", "value", "start", "end", "seed", F.explode(sides).alias("p")) \
         .where("p.word <> ''").select("key", "kind", "value", "start", "end", "seed", F.col("p.side").alias("side"), F.col("p.word").alias("word"))
 
 
@@ -133,7 +155,9 @@ def patterns(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS, support:
 def find(docs: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
     """``doc_id``, counts of base spans by kind, ``base_sha256`` and ``spans`` of every row, one for one.
 
-    Null and empty texts have no spans. Spans are ``kind:start:end`` in code points, ordered by start and then kind;
+    Found spans are words of at least six characters with a digit or an at sign, next to a word that is a pattern; a
+    neighbouring word counts if it ends within ``CONTEXT`` characters. Regular expressions look at each character a bounded number
+    of times, so time is linear in a text. Null and empty texts have no spans. Spans are ``kind:start:end`` in code points, ordered by start and then kind;
     found ones follow the same order and never overlap a base span. Further columns are ignored; rows may repeat.
     """
     spark = docs.sparkSession
@@ -142,18 +166,32 @@ def find(docs: DataFrame, confidence: float = CONFIDENCE) -> DataFrame:
     rows = docs.select("doc_id", text.alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     # A key is the id and the whole text, so rows that share one share every span.
     marked = stage(spark, rows.where(F.col("text").rlike("[0-9@]")).select("key", "text", F.sort_array(base).alias("base")), "base")
-    seeds = marked.select("key", "text", F.explode("base").alias("s")).select("key", "text", "s.*", F.lit(True).alias("seed"))
-    words = marked.select("key", "text", "base", F.explode(_located(F.col("text"), CANDIDATE)).alias("m")) \
-        .withColumn("value", F.regexp_replace("m.value", r"^[^\p{L}\p{N}@]+|[^\p{L}\p{N}]+$", "")) \
-        .withColumn("start", F.col("m.start") + F.length(F.regexp_extract("m.value", r"^[^\p{L}\p{N}@]*+", 0))) \
-        .withColumn("end", F.col("start") + F.length("value")) \
-        .where((F.length("value") >= 6) & F.col("value").rlike("[0-9@]")
-               & ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start"))))
-    free = words.select("key", "text", "start", "value", "end", F.lit(False).alias("seed"),
-                        F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind"))
-    cols = ["key", "text", "kind", "value", "start", "end", "seed"]
+    held = marked.select("key", "text", "base", F.explode(F.array(_cells(F.col("text")))).alias("cells"))
+    seeds = held.select("key", F.explode(F.transform("base", lambda s: F.struct(
+        s["kind"].alias("kind"), s["value"].alias("value"), s["start"].alias("start"), s["end"].alias("end"), *_neighbours(F.col("cells"), s["start"], s["end"])))).alias("s")) \
+        .select("key", "s.*", F.lit(True).alias("seed"))
+
+    def trimmed(m: Column) -> Column:
+        value = F.regexp_replace(m["value"], r"^[^\p{L}\p{N}@]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
+        return F.struct(value.alias("value"), (m["start"] + F.length(F.regexp_extract(m["value"], r"^[^\p{L}\p{N}@]*+", 0))).alias("start"))
+
+    fits = lambda w: (F.length(w["value"]) >= 6) & w["value"].rlike("[0-9@]")
+    words = stage(spark, held.select("key", "cells", F.filter(F.transform(_located(F.col("text"), CANDIDATE), trimmed), fits).alias("w")).select(
+        "key", F.explode(F.transform("w", lambda w: F.struct(
+            w["value"].alias("value"), w["start"].alias("start"), (w["start"] + F.length(w["value"])).alias("end"),
+            *_neighbours(F.col("cells"), w["start"], w["start"] + F.length(w["value"]))))).alias("w")).select("key", "w.*"), "words")
+    # Spans meet in the cells they cover; a word that overlaps a base span is part of it.
+    covers = lambda start, end: F.explode(F.sequence(F.floor(start / CELL), F.floor((end - 1) / CELL)))
+    taken = marked.select("key", F.explode("base").alias("b")).select("key", F.col("b.start").alias("from"), F.col("b.end").alias("to"), covers(F.col("b.start"), F.col("b.end")).alias("cell"))
+    overlapping = words.select("key", "start", "end", covers(F.col("start"), F.col("end")).alias("cell")).join(
+        taken, ["key", "cell"]).where("start < to AND end > from").select("key", "start", "end").distinct()
+    free = words.join(overlapping, ["key", "start", "end"], "left_anti").select(
+        "key", "start", "value", "end", "l", "r", F.lit(False).alias("seed"), F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind"))
+    cols = ["key", "kind", "value", "start", "end", "seed", "l", "r"]
     near = stage(spark, _contexts(seeds.select(*cols).union(free.select(*cols))), "contexts")
-    totals = rows.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]*\s[^\p{L}\s]*")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("total"))
+    # A run of other characters parts words if there is white space in it; each run is looked at once.
+    gap = r"(?<![^\p{L}])(?=[^\p{L}\s]*+\s)[^\p{L}]++"
+    totals = rows.select(F.explode(F.split(F.lower("text"), gap)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("total"))
     edges = near.groupBy("kind", "side", "word", "value", "seed").agg(F.count(F.lit(1)).alias("n"))
     good = patterns(edges, totals).where(F.col("score") >= confidence).select("kind", "side", "word")
     found = near.where("NOT seed").join(good, ["kind", "side", "word"]).groupBy("key", "start", "end") \

@@ -111,7 +111,7 @@ FROM r QUALIFY rank <= 10""",
 WITH l AS (SELECT doc_id, unnest(range(len(p))) AS line_no, unnest(p) AS line
            FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)),
 s AS (SELECT * FROM (SELECT doc_id, line_no, list_distinct(list_filter(string_split(
-          regexp_replace(lower(line), '[\\t\\r\\x0b\\x0c]', ' ', 'g'), ' '), lambda x: x <> '')) AS ws, len(ws) AS n FROM l) WHERE n >= 5),
+          regexp_replace(lower(line), '[\\t\\r\\x0b\\x0c]', ' ', 'g'), ' '), lambda x: x <> '')) AS ws, len(ws) AS n FROM l) WHERE n >= 1),
 t AS (SELECT doc_id, line_no, n, unnest(ws) AS word FROM s),
 f AS (SELECT word, count(*) AS c FROM t GROUP BY 1),
 p AS (SELECT doc_id, line_no, n, word FROM t JOIN f USING (word)

@@ -5,8 +5,9 @@ bit of one segment, so every fingerprint enumerates the Hamming ball of radius o
 (33 values each), fetches the table entries with such a segment and verifies the complete distance. Copies share
 a fingerprint and are collapsed before; documents are joined back only at the end.
 
-Groups of near copies put many fingerprints into the same table entry. Within such an entry the pairs are not
-compared all with all: see ``links``.
+A table entry with very many fingerprints (they agree on half their bits) is looked up once more by the other half: its
+fingerprints differ there in at most three of 32 bits, so at least one of four bytes is equal, and only fingerprints that agree on
+such a byte are compared. See ``links``.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ WIDTH = 3
 DISTANCE = 3
 #: Shingles hashed at once; bounds the memory of a very long text.
 BLOCK = 1 << 16
+#: Fingerprints of a table entry from which on the entry is divided by the bytes of the other segment.
+CROWDED = 512
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -50,15 +53,16 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id``, ``fp`` (the 64 bits as a signed long) of every document."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, carry: str | None = None) -> DataFrame:
+    """``doc_id``, ``fp`` (the 64 bits as a signed long) of every document, and the bigint column ``carry`` if named."""
+    more = [carry] if carry else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *more])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select("doc_id", "text", *more).mapInArrow(run, "doc_id bigint, fp bigint" + "".join(f", {c} bigint" for c in more))
 
 
 def _segments(fp) -> list:
@@ -66,18 +70,38 @@ def _segments(fp) -> list:
     return [F.shiftrightunsigned(fp, 32), fp.bitwiseAND(F.lit((1 << 32) - 1)).bitwiseOR(F.lit(1 << 32))]
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of different fingerprints (column ``fp``) with at most ``DISTANCE`` differing bits.
+def links(fps: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """Pairs ``a < b`` of different fingerprints (column ``fp``, each once) with at most ``DISTANCE`` differing bits.
 
     The table has two rows a fingerprint and the probes 66, whatever the data. A pair is kept by the probe of its
-    smaller member only, so it appears at most once for each segment that is near.
+    smaller member only; it may come more than once. Entries of ``crowded`` fingerprints or more, if there are any, are looked up
+    with four bytes more.
     """
     held = fps.select(F.col("fp").alias("b"), F.explode(F.array(*_segments(F.col("fp")))).alias("key"))
     ball = [s if i is None else s.bitwiseXOR(F.lit(1 << i))
             for s in _segments(F.col("fp")) for i in (None, *range(32))]
     probes = fps.select(F.col("fp").alias("a"), F.explode(F.array(*ball)).alias("key"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE)
-    return probes.join(held, (probes["key"] == held["key"]) & near).select("a", "b")
+    full = stage(fps.sparkSession, held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= crowded).select("key"), "crowded")
+    if full.isEmpty():
+        return probes.join(held, "key").where(near).select("a", "b")
+    rest = probes.join(held.join(full, "key", "left_anti"), "key").where(near).select("a", "b")
+
+    def divided(rows: DataFrame, fp: str) -> DataFrame:
+        """Each row four times, with a byte of the segment that is not its key and the byte's place."""
+        upper = F.col("key") < F.lit(1 << 32)  # the key is the upper segment
+        other = F.when(upper, F.col(fp)).otherwise(F.shiftrightunsigned(fp, 32)).bitwiseAND(F.lit((1 << 32) - 1))
+        part = [F.shiftrightunsigned(other, 8 * i).bitwiseAND(F.lit(255)).bitwiseOR(F.lit(i << 8)) for i in range(4)]
+        return rows.join(full, "key", "left_semi").select(fp, "key", F.explode(F.array(*part)).alias("part"))
+
+    return rest.union(divided(probes, "a").join(divided(held, "b"), ["key", "part"]).where(near).select("a", "b"))
+
+
+def _components(fps: DataFrame) -> DataFrame:
+    """``fp``, ``root``: the smallest fingerprint that links reach, for each different fingerprint."""
+    own = fps.select("fp").distinct()
+    roots = components(fps.sparkSession, links(own))
+    return own.join(roots, own["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
 def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -88,12 +112,9 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     of only such rows has a null ``component_id``. An empty table gives an empty result; repeated rows come back
     repeated; further columns are ignored.
     """
-    spark = docs.sparkSession
-    fps = stage(spark, fingerprints(docs, width), "fingerprints")
+    fps = stage(docs.sparkSession, fingerprints(docs, width), "fingerprints")
     own = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(spark, links(own))
-    placed = own.join(roots, own["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    placed = _components(fps).join(own, "fp")
     lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = placed.join(lowest, "root").select("fp", "component_id")
     return fps.join(named, "fp").select(
@@ -101,10 +122,16 @@ def classes(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its group, one for each such id.
+    """One row of ``docs`` for each group: that with the smallest ``doc_id``, rows without one coming last.
 
-    Rows without ``doc_id`` cannot be named as a group's first document and stay as they are.
+    Of rows that share the id, the one with the smallest hash of its text stays; rows that share id and text are one
+    document and give one row. Null, empty and wordless texts are one group. An empty table gives an empty result.
     """
-    kept = classes(docs, width).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    mark = next(x for x in (f"text_{k}" for k in range(len(docs.columns) + 1)) if x not in docs.columns)
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    fps = stage(docs.sparkSession, fingerprints(marked, width, mark).withColumnRenamed(mark, "mark"), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark")
+    firsts = fps.groupBy("fp").agg(F.min(row).alias("first")).join(_components(fps), "fp").groupBy("root").agg(F.min("first").alias("f"))
+    kept = firsts.select(F.col("f.doc_id").alias("kept_id"), F.col("f.mark").alias(mark)).distinct()
+    named = marked.join(kept, (marked["doc_id"].eqNullSafe(kept["kept_id"])) & (marked[mark] == kept[mark]), "left_semi")
+    return named.dropDuplicates(["doc_id", mark]).select(docs.columns)

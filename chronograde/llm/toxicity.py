@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import heapq
 import string
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -32,6 +32,7 @@ LANDMARKS = 384
 SAMPLE_TEXTS = 10_000
 SAMPLE_WORDS = 1_500
 THRESHOLD = 0.7
+COPY_HASHES = 5
 TABLE_BITS = 20
 #: Words whose scores a worker keeps; the table is emptied when full. Longer words are scored in pieces of this size.
 CACHE_WORDS = 400_000
@@ -218,15 +219,19 @@ def word_evidence(rows: DataFrame, words: int = SAMPLE_WORDS) -> list[tuple[str,
     return sorted(chosen.values())
 
 
+def _salted(k: int) -> Callable[[Column], Column]:
+    return lambda w: F.xxhash64(w, F.lit(k))
+
+
 def without_copies(rows: DataFrame) -> DataFrame:
     """One text of each group of copies and near copies of a label, which would count their words many times over.
 
-    Two min-wise hashes of a text's words are compared one after the other; near copies agree in most of them.
+    Near copies are texts whose word sets agree in all of ``COPY_HASHES`` min-wise hashes: the chance is the similarity of the
+    sets to that power, so texts that merely share common words stay.
     """
-    for salt in (1, 2):
-        low = F.array_min(F.transform(F.split(F.lower(F.coalesce("text", F.lit(""))), "\\s+"), lambda w: F.xxhash64(w, F.lit(salt))))
-        rows = rows.withColumn("low", low).dropDuplicates(["label", "low"]).drop("low")
-    return rows
+    words = F.split(F.lower(F.coalesce("text", F.lit(""))), "\\s+")
+    low = F.array(*[F.array_min(F.transform(words, hashed)) for hashed in map(_salted, range(COPY_HASHES))])
+    return rows.withColumn("low", low).dropDuplicates(["label", "low"]).drop("low")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model:
@@ -312,6 +317,10 @@ def train_and_score(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with their columns."""
+    """The rows of ``docs`` that score below the threshold, with their columns.
+
+    Null and empty texts are scored as texts without words; rows without ``doc_id`` are judged but not learnt from; repeated rows
+    stay repeated; an empty table gives an empty result; columns named like the labels' are not read.
+    """
     model = fit(docs.where("doc_id IS NOT NULL"), labels.where(~held_out()))
     return docs.where(score_column(docs.sparkSession, model) < threshold)

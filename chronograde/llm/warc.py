@@ -1,6 +1,6 @@
 """WARC records as a table of chunks.
 
-A record is a run of rows (``record_id``, ``chunk``, ``data``): chunk 0 is its header block, the following chunks
+A record is a run of rows (``archive``, ``record_id``, ``chunk``, ``data``): chunk 0 is its header block, the following chunks
 are slices of the payload, the last is the record's end mark. Joined in order, the chunks of an archive are a WARC
 file byte for byte (``export`` writes one). Writer and reader pass over chunks one at a time and carry length
 and SHA-1 along, so no step needs a whole record in one buffer beyond the page that the input row itself holds.
@@ -29,31 +29,33 @@ def base32_sha1(hex_digest: str) -> str:
 
 
 def first_copies(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Adds ``payload_bytes``, ``sha1`` and ``first_id``: of equal payloads of at least ``min_bytes`` bytes the smallest page id.
+    """``page_id``, ``sha1``, ``payload_bytes``, ``first_id`` of each different page: of equal payloads of at least ``min_bytes`` bytes
+    the smallest page id, pages without an id coming last; smaller payloads have no first.
 
     Only ids and digests are shuffled for it. The minimum is combined before the shuffle, and the join back is
     a plain sort-merge join, which adaptive execution splits where one payload has very many pages.
     """
     body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     rows = pages.select("page_id", F.octet_length(F.coalesce("html", F.lit(""))).cast("bigint").alias("payload_bytes"),
-                        F.sha1(body).alias("sha1"))
-    # One payload for each id; a page's own repeats are not copies of another page.
-    rows = rows.groupBy("page_id").agg(F.min(F.struct("sha1", "payload_bytes")).alias("r")).select("page_id", "r.*")
+                        F.sha1(body).alias("sha1")).distinct()
     firsts = (rows.where(F.col("payload_bytes") >= min_bytes).groupBy("sha1", "payload_bytes")
-              .agg(F.min("page_id").alias("first_id")))
-    return rows.join(firsts, ["sha1", "payload_bytes"], "left").select(
-        "page_id", "payload_bytes", "sha1", F.coalesce("first_id", "page_id").alias("first_id"))
+              .agg(F.min("page_id").alias("first_id"), F.lit(True).alias("is_counted")))  # a minimum passes over nulls
+    return rows.join(firsts, ["sha1", "payload_bytes"], "left")
 
 
-def _header(page_id: int, url: str | None, size: int, digest: str, first_id: int) -> bytes:
-    revisit = first_id != page_id
+def _page(page_id: int | None, digest: str, copy: str = "") -> str:
+    """A record's name: page, payload and, but for the one record others refer to, archive and number."""
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest}{copy}>"
+
+
+def _header(page_id: int | None, url: str | None, size: int, digest: str, first_id: int | None, revisit: bool, copy: str) -> bytes:
     head = [b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"),
-            f"WARC-Record-ID: <urn:page:{page_id}>".encode(),
+            f"WARC-Record-ID: {_page(page_id, digest, copy)}".encode(),
             b"WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A").encode(),
             b"WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}".encode(),
             f"X-Payload-Length: {size}".encode(), b"Content-Type: text/html; charset=utf-8"]
     if revisit:
-        head += [f"WARC-Refers-To: <urn:page:{first_id}>".encode(), f"WARC-Profile: {PROFILE}".encode()]
+        head += [f"WARC-Refers-To: {_page(first_id, digest)}".encode(), f"WARC-Profile: {PROFILE}".encode()]
     return CRLF.join([*head, f"Content-Length: {0 if revisit else size}".encode(), b"", b""])
 
 
@@ -64,44 +66,49 @@ def utf8_slices(text: str, size: int = CHUNK) -> Iterator[bytes]:
         yield text[at:at + step].encode("utf-8")
 
 
-def record_chunks(page_id: int, url: str | None, html: str | None, size: int, sha1: str, first_id: int,
-                  chunk: int = CHUNK) -> Iterator[bytes]:
+def record_chunks(page_id: int | None, url: str | None, html: str | None, size: int, sha1: str, first_id: int | None,
+                  revisit: bool, copy: str = "", chunk: int = CHUNK) -> Iterator[bytes]:
     """Header block, payload slices (none for a revisit) and end mark of one record."""
-    yield _header(page_id, url, size, base32_sha1(sha1), first_id)
-    if first_id == page_id and html:
+    yield _header(page_id, url, size, base32_sha1(sha1), first_id, revisit, copy)
+    if not revisit and html:
         yield from utf8_slices(html, chunk)
     yield CRLF + CRLF
 
 
 def write_records(pages: DataFrame, chunk: int = CHUNK, min_bytes: int = 0) -> DataFrame:
-    """The chunk rows of one record per page. Each task writes an archive of its own, in order of page ids.
+    """The chunk rows of one record per row. Each task writes an archive of its own, in order of page ids.
 
-    Pages are shuffled once, to meet their digests' first copies; the archive's number is the task's.
-    Null html is an empty payload, null url an empty URI. ``page_id`` names the record: rows without one get no
-    record, and of rows that share one the payload with the smallest digest is written once.
+    Pages are shuffled once, to meet their digests' first copies; the archive's number is the task's, records are numbered
+    within it. Null html is an empty payload, null url an empty URI. A row without ``page_id`` gets a record without one; it is the
+    response of its payload only where no page with an id has that. Rows that share an id are records of their own: with different
+    payloads they have nothing to do with each other, of equal rows the first is the response and the others revisit it. An empty
+    table gives an empty result; further columns are ignored.
     """
-    marked = pages.where("page_id IS NOT NULL").select("page_id", "url", "html")
-    known = first_copies(marked, min_bytes)
-    rows = (marked.withColumn("sha1", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
-            .join(known, ["page_id", "sha1"])
-            .withColumn("html", F.expr("CASE WHEN first_id = page_id THEN html END"))
-            .sortWithinPartitions("page_id").withColumn("archive", F.spark_partition_id())
-            .select("archive", "page_id", "url", "html", "payload_bytes", "sha1", "first_id"))
+    known = first_copies(pages.select("page_id", "html"), min_bytes).select(F.col("page_id").alias("known_id"), F.col("sha1").alias("known_sha1"),
+                                                                         "payload_bytes", "first_id", "is_counted")
+    body = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    rows = (pages.select("page_id", "url", "html", F.sha1(body).alias("sha1"))
+            .join(known, F.col("page_id").eqNullSafe(F.col("known_id")) & (F.col("sha1") == F.col("known_sha1")))
+            .select("page_id", "url", F.when(F.col("first_id").isNull() | (F.col("first_id") == F.col("page_id")), F.col("html")).alias("html"),
+                    "payload_bytes", "sha1", "first_id", F.coalesce("is_counted", F.lit(False)).alias("is_counted"))
+            .sortWithinPartitions("page_id", "sha1", "url").select(F.spark_partition_id().alias("archive"), "*"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        before = None
+        before, number = None, 0
         for batch in batches:
             for i in range(batch.num_rows):
-                archive, page_id, *rest = (batch.column(k)[i].as_py() for k in range(7))
-                if page_id == before:
-                    continue
-                before = page_id
-                for n, data in enumerate(record_chunks(page_id, *rest, chunk=chunk)):
-                    out.append((archive, page_id, n, data))
+                archive, page_id, url, html, size, sha1, first_id, counted = (batch.column(k)[i].as_py() for k in range(8))
+                again = (page_id, sha1) == before  # equal rows meet in one task, one after the other
+                before = page_id, sha1
+                revisit = counted and (again or first_id != page_id)
+                copy = f":{archive}-{number}" if revisit or again else ""
+                for n, data in enumerate(record_chunks(page_id, url, html, size, sha1, first_id, revisit, copy, chunk)):
+                    out.append((archive, number, n, data))
                     if len(out) >= BATCH:
                         yield _batch(out)
                         out = []
+                number += 1
         if out:
             yield _batch(out)
 
@@ -144,7 +151,7 @@ class RecordReader:
         if self.fields is None or self._left:
             raise ValueError("record is cut off")
         f = self.fields
-        number = lambda x: int(x.strip("<>").rsplit(":", 1)[1])
+        number = lambda x: int(n) if (n := x.strip("<>").split(":")[2]) else None
         named = f["WARC-Payload-Digest"].removeprefix("sha1:")
         if f["WARC-Type"] == "revisit":
             return number(f["WARC-Record-ID"]), int(f["X-Payload-Length"]), named, "revisit", number(f["WARC-Refers-To"])

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from chronograde.llm import bpe, decontam, html_extract, line_dedup, near_dup, packing, pii, simhash, topk, toxicity, warc
+from chronograde.llm import bpe, decontam, html_extract, line_dedup, packing, pii, queries, simhash, topk, toxicity, warc
 from chronograde.llm.common import components, table
 
 SF = "/root/testdata/sf0.001"
@@ -113,6 +116,50 @@ def test_pages_keep_the_article(spark):
     assert sorted(map(tuple, html_extract.extract(empty).collect()), key=str) == [(1, None, "", 0), (None, "u", "a b", 3)]
 
 
+def article_of(page):
+    """The generated pages say where their article is; a plain reading of it."""
+    inner = re.search(r"<article>(.*?)(?:</article>|\Z)", page, re.S).group(1)
+    inner = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1>", "", inner, flags=re.S)
+    inner = re.sub(r"</?(?:p|h[1-6]|ul|ol|li|div|section|table|tr|td|blockquote|pre)\b[^>]*>|<br>", "\n", inner)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", "", inner)).split())
+
+
+def test_pages_equal_a_plain_reading(spark):
+    for sf in (SF, "/root/testdata/sf0.01"):
+        pages = {r.page_id: r.html for r in table(spark, sf, "pages").collect()}
+        got = {r.page_id: r.text for r in html_extract.extract(table(spark, sf, "pages")).collect()}
+        assert got == {i: article_of(h) for i, h in pages.items()}
+
+
+GOLDEN = [
+    ("<body><div\tclass='sidebar'>Side bar text, long enough, to count.</div><div\nclass='comments'><p>A comment, by a reader.</p></div>"
+     "<article><p>Main text, with commas, and more.</p></article></body>", "Main text, with commas, and more."),
+    ("<article><p>One, two, three.</p><figure><img src=x><figcaption>A caption.</figcaption></figure><section class='related-work'><p>Earlier work, in prose.</p>"
+     "</section><p class=byline>By A. Writer</p><div class='related'><a href=x>Link one</a> <a href=y>Link two</a></div><p>E = <math><mi>m</mi></math>.</p></article>",
+     "One, two, three. A caption. Earlier work, in prose. By A. Writer E = m."),
+    ("<div id=menu><ul><li><a href=a>Home</a></ul></div><div><h2>Title</h2><p>Text, first.</p><blockquote>Said, so.</blockquote><table><tr><td>1</td><td>2</td></tr></table></div>"
+     "<div class='cookie-banner'>We use cookies, many.</div><form><p>Name, please.</p></form>", "Title Text, first. Said, so. 1 2"),
+    ("<article><p title=\"a > b\">Quoted, fine.</p><p title='x>Open quote, kept.</p></article>", "Quoted, fine. Open quote, kept."),
+    ("<main><p>A&nbsp;b&#x20;&lt;c&gt; &eacute;\n\td</p><!-- <p>not this</p> --><script>if (a<b) '</p>'</script><p hidden>no</p><p style='display: none'>no</p></main>", "A b <c> é d"),
+]
+
+
+@pytest.mark.parametrize("page, text", GOLDEN)
+def test_golden_pages(page, text):
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", [
+    "<article><p>" + "<b>" * 600 + "deep text here." + "</b>" * 600 + "</p></article>", "<a " * 350_000, "<a b='" * 170_000, "<a b='" * 170_000 + ">", "<" * 1_000_000,
+    "<div>" * 100_000 + "x" + "</x>" * 100_000, "<b><article>" + "<span>" * 50_000 + "t" + "</b>" * 50_000, "<!--" * 250_000, "<a \"x>\" " * 100_000 + "'", "&" * 1_000_000,
+    "<![CDATA[" * 100_000, "</p" * 300_000, "<script>" + "</script" * 100_000, "<p>" * 200_000 + "end"])
+def test_hostile_pages_take_linear_time(page):
+    started = time.process_time()
+    text = html_extract.main_text(page)
+    assert time.process_time() - started < 20 and len(text) <= len(page)
+    assert "deep text here." in text or "deep" not in page
+
+
 def test_toxicity_learns_and_tolerates_insertions(spark):
     rnd = random.Random(1)
     clean = ["".join(rnd.choice(["ri", "sto", "gar", "den", "wi", "let", "mar", "su", "mer", "can"]) for _ in range(3)) for _ in range(600)]
@@ -135,6 +182,36 @@ def test_toxicity_learns_and_tolerates_insertions(spark):
     assert scorer.features([None, ""]).shape == (2, 4)
 
 
+def test_kernel_equals_a_plain_sum():
+    """Common subsequences of three to five characters with at most two gap characters, each gap a factor."""
+    def plain(word):
+        chars, out = "\x02" + word + "\x03", {}
+        for p in toxicity.LENGTHS:
+            for at in itertools.combinations(range(len(chars)), p):
+                if at[-1] - at[0] < p + toxicity.GAPS:
+                    key = "".join(chars[i] for i in at)
+                    out[key] = out.get(key, 0.0) + toxicity.DECAY ** (at[-1] - at[0] + 1 - p)
+        return out
+
+    words = ["idiot", "idxiot", "i-d-i-o-t", "garden", "gardener", "a", "no", "aaaa", "ünïcode"]
+    x, _ = toxicity._features(words)
+    norm = toxicity.lengths_norm(np.array(list(map(len, words))))
+    for i, a in enumerate(words):
+        for j, b in enumerate(words):
+            pa, pb = plain(a), plain(b)
+            want = sum(v * pb.get(k, 0.0) for k, v in pa.items()) / norm[i] / norm[j]
+            assert abs(float(x[i].astype(float) @ x[j]) - want) < 1e-4 * max(1, want)
+
+
+def test_only_near_copies_are_left_out_of_the_fit(spark):
+    rnd = random.Random(3)
+    common = [f"c{i}" for i in range(8)]
+    rows = [(i, " ".join(common + [f"w{rnd.randrange(5000)}" for _ in range(40)]), i % 2) for i in range(300)]
+    rows += [(1000 + i, t + " x", y) for i, t, y in rows[:50]] + [(2000 + i, t, y) for i, t, y in rows[:50]]
+    kept = toxicity.without_copies(spark.createDataFrame(rows, "doc_id bigint, text string, label bigint"))
+    assert 290 <= kept.count() <= 325  # the texts that share eight words stay, copies go
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     marks = spark.createDataFrame([(3, None), (4, 1), (4, 1), (5, 0), (None, 1)], "doc_id bigint, toxic int")
     got = toxicity.train_and_score(odd, marks).collect()
@@ -172,6 +249,27 @@ def test_pii_base_spans(spark, odd, none):
     assert pii.find(odd).count() == len(ODD) + 2 and pii.find(none).count() == 0
 
 
+def test_pii_on_long_runs_takes_linear_time(spark):
+    """A million digits, dots, other characters or word characters in a row."""
+    texts = ["1" * 1_000_000, "1.2.3." * 160_000, "." * 1_000_000, "a" * 1_000_000, "+1(" * 300_000, "a@" * 300_000, "4 " * 300_000, "#" * 500_000 + " x", "9" * 500_000 + "é", "u1@m.de ab2cd3 " * 30_000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(4)
+    pii.find(docs.limit(1)).collect()  # compiled
+    started = time.time()
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert time.time() - started < 120
+    counts = {i: (r.n_email, r.n_ip, r.n_card, r.n_phone) for i, r in got.items()}
+    assert counts == {**dict.fromkeys(range(9), (0, 0, 0, 0)), 1: (0, 120_000, 0, 0), 9: (30_000, 0, 0, 0)}
+
+
+def test_pii_contexts(spark):
+    """Whole words within the context, the same on either side as in the totals."""
+    long = "x" * 70
+    rows = [(i, f"{long} mail (customermail): u{i}@mail.example.com, reply {long}") for i in range(6)] + [(9, "customermail jo.1977#corp"), (10, f"{long} jo.1988#corp")]
+    rows += [(20 + i, f"u{i}x@mail.example.com") for i in range(6)] + [(40 + i, f"{long} v{i}@mail.example.com") for i in range(6)]
+    got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[9] == "email:13:25" and got[10] == "" and got[20] == "email:0:20"
+
+
 def test_pii_finds_unseen_identifiers(spark):
     rows = [(i, f"lorem ipsum customermail u{i}@mail.example.com dolor") for i in range(20)] + [(90, "see customermail jo.1977#corp now")]
     got = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
@@ -201,15 +299,35 @@ def test_topk_odd_rows(odd, none):
     assert topk.top_k(none, ask).count() == 0
 
 
+def plain_records(rows, min_bytes=0):
+    """One tuple a row: of equal payloads the smallest id is the response, ids before nulls, the first of equal rows."""
+    digest = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    out, groups = [], {}
+    for i, _, t in rows:
+        groups.setdefault(t or "", []).append(i)
+    for t, ids in groups.items():
+        size = len(t.encode())
+        ids.sort(key=lambda i: (i is None, i or 0))
+        for k, i in enumerate(ids):
+            revisit = k > 0 and size >= min_bytes
+            out.append((i, size, digest(t), "revisit" if revisit else "response", ids[0] if revisit else None))
+    return sorted(out, key=str)
+
+
 def test_warc_round_trip(spark, tmp_path):
-    rows = [(3, "u\r\n", "é" * 100), (1, None, "same"), (2, "v", "same"), (4, "w", None), (5, "x", ""), (6, "y", "a\r\n\r\nWARC/1.1\r\n"), (2, "v", "same"), (None, "n", "q")]
-    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    rows = [(3, "u\r\n", "é" * 100), (1, None, "same"), (2, "v", "same"), (4, "w", None), (5, "x", ""), (6, "y", "a\r\n\r\nWARC/1.1\r\n"), (2, "v", "same"),
+            (None, "n", "q"), (None, "n", "q"), (None, "o", "same"), (1, "z", "another text under the id"), (1, "y", "another text under the id"), (7, "", "x" * 70_000),
+            (None, None, None), (-8, "neg", "minus"), (9, "pos", "minus")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("sha1", F.lit("clash")).withColumn("archive", F.lit(1))
     chunks = warc.write_records(pages, chunk=16).cache()
-    got = {r.page_id: tuple(r)[1:] for r in warc.read_records(chunks).collect()}
-    digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
-    kind = {2: ("revisit", 1), 5: ("revisit", 4)}
-    assert got == {i: (len((t or "").encode()), digest(t), *kind.get(i, ("response", None))) for i, _, t in rows if i is not None}
-    assert warc.read_records(chunks.limit(0)).count() == 0
+    assert sorted(map(tuple, warc.read_records(chunks).collect()), key=str) == plain_records(rows)
+    for least in (1, 5):
+        assert sorted(map(tuple, warc.read_records(warc.write_records(pages, 1024, least)).collect()), key=str) == plain_records(rows, least)
+    names = [x for r in chunks.where("chunk = 0").collect() for x in re.findall(rb"WARC-Record-ID: (\S+)", bytes(r["data"]))]
+    assert len(names) == len(set(names)) == len(rows)
+    refers = {x for r in chunks.where("chunk = 0").collect() for x in re.findall(rb"WARC-Refers-To: (\S+)", bytes(r["data"]))}
+    assert refers <= set(names)
+    assert warc.read_records(chunks.limit(0)).count() == 0 and warc.write_records(pages.limit(0)).count() == 0
     archive = chunks.first()["archive"]
     warc.export(chunks, archive, str(tmp_path / "a.warc"))
     assert (tmp_path / "a.warc").read_bytes().startswith(b"WARC/1.1\r\nWARC-Type: ")
@@ -217,6 +335,21 @@ def test_warc_round_trip(spark, tmp_path):
         warc.read_records(chunks.withColumn("data", F.when(F.col("chunk") == 1, F.expr("cast(repeat('z', octet_length(data)) as binary)")).otherwise(F.col("data")))).collect()
 
 
+def test_warc_of_pages_equals_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, SF, "pages").select("page_id", "url", "html").collect()]
+    got = queries.op6_warc(spark, SF).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, got), key=str) == plain_records(rows)
+
+
+def test_packing_hangs_on_the_table_alone(spark, docs):
+    """The same sequences on one partition and on nine, whatever the cores."""
+    path, pattern = queries.RANKS, queries.public_tokenizers.PATTERN
+    told = [sorted(map(str, packing.pack(docs.repartition(n), path, pattern, length=512, shard_tokens=20_000).collect())) for n in (1, 9)]
+    assert told[0] == told[1]
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert {r.shard for r in packing.pack(docs, path, pattern, length=512, shard_tokens=20_000).select("shard").distinct().collect()} == set(range(-(-total // 40_000)))
+
+
 def test_packing_is_lossless(spark, odd, none):
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     encode = packing.encoding(path, pattern).encode_ordinary
@@ -263,6 +396,12 @@ def test_bpe_equals_the_library(spark, docs, odd, none):
     assert bpe.encode(odd, path, name).count() == len(ODD) + 2 and bpe.encode(none, path, name).count() == 0
 
 
+def test_frequent_forms(spark):
+    counts = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 2), ("e", 1)], "form string, n bigint")
+    assert [bpe.frequent(counts, n) for n in (0, 1, 2, 3, 4, 99)] == [[], ["a"], ["a"], ["a", "b", "c"], ["a", "b", "c", "d"], ["a", "b", "c", "d", "e"]]
+    assert bpe.frequent(counts.limit(0), 5) == []
+
+
 def test_automaton_is_minimal_and_complete():
     words = sorted(w.encode() for w in {"tap", "taps", "top", "tops", "stop", "stops", "é"})
     arrays = bpe.build_automaton(words)
@@ -276,7 +415,7 @@ def plain_later(rows):
     seen, out = [], set()
     for d, i, line in sorted(rows):
         words = frozenset(w for w in re.split(r"[ \t\r\x0b\x0c]+", line.lower()) if w)
-        if len(words) >= 5:
+        if words:
             if any(len(words & o) >= 0.8 * len(words | o) - 1e-9 for o in seen):
                 out.add((d, i))
             seen.append(words)
@@ -285,7 +424,7 @@ def plain_later(rows):
 
 def test_line_dedup_equals_brute_force(spark):
     rnd = random.Random(4)
-    base = [[f"w{rnd.randrange(40)}" for _ in range(rnd.choice([5, 6, 8, 12, 25]))] for _ in range(12)]
+    base = [[f"w{rnd.randrange(40)}" for _ in range(rnd.choice([1, 2, 3, 4, 5, 6, 8, 12, 25]))] for _ in range(16)]
     docs = []
     for d in range(60):
         lines = []
@@ -305,7 +444,7 @@ def test_line_dedup_odd_rows(spark, odd, none):
     out = line_dedup.remove_later(odd.union(more))
     assert out.columns == odd.columns and out.count() == len(ODD) + 5
     got = {r.doc_id: r.text for r in out.collect()}
-    assert (got[20], got[21], got[22], got[1], got[3]) == ("p q r s t u\nshort", "keep", "", None, "one")
+    assert (got[20], got[21], got[22], got[1], got[3], got[4], got[5], got[9]) == ("p q r s t u\nshort", "keep", "", None, "one", "A b C", "", "")
     assert line_dedup.remove_later(none).count() == 0
 
 
@@ -360,6 +499,44 @@ def test_decontamination_finds_leaks_only(spark, odd, none):
     assert decontam.keep_uncontaminated(odd, bench).count() == odd.count()
 
 
+def test_decontamination_items_without_or_with_repeated_ids(spark):
+    rnd = random.Random(18)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    a, b, c = prose(30), prose(45), prose(25)
+    rows = [(1, f"{prose(50)} {a} {prose(80)}"), (2, f"{prose(10)} {b}"), (None, c), (2, prose(200)), (4, prose(100))] + [(10 + i, prose(120)) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, a), (7, b), (7, b), (None, c), (8, None), (9, " .. ")], "item_id bigint, text string")
+    assert sorted(((r.doc_id, r.item_id) for r in decontam.matches(docs, bench).collect()), key=str) == [(1, 7), (2, 7), (None, None)]
+    kept = decontam.keep_uncontaminated(docs, bench)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([2, 4, *range(10, 40)], key=str)  # of the two rows 2 only the clean one
+
+
+def test_decontamination_recall_of_paraphrases(spark, monkeypatch):
+    """Against every passage compared word by word, with a space fitted on a tenth of the documents and items in small blocks."""
+    monkeypatch.setattr(decontam, "SAMPLE_DOCS", 100)
+    monkeypatch.setattr(decontam, "ITEM_BLOCK", 16)
+    texts = [r.text for r in table(spark, "/root/testdata/sf0.01", "documents").orderBy("doc_id").collect()]
+    items = [(r.item_id, decontam.words_of(r.text)) for r in table(spark, "/root/testdata/sf0.01", "benchmark").collect()]
+    rnd = random.Random(4)
+    vocabulary = [w for t in texts[:200] for w in decontam.words_of(t)]
+    rows = []
+    for k in range(400):
+        item = items[k % len(items)][1]
+        changed = [rnd.choice(vocabulary) if rnd.random() < 0.1 * (k % 5) else w for w in item]
+        host = decontam.words_of(texts[rnd.randrange(len(texts))])[:600]
+        at = rnd.randrange(len(host) + 1)
+        rows.append((k, " ".join(host[:at] + changed + host[at:])))
+    rows += [(1000 + i, t) for i, t in enumerate(texts[:600])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.matches(docs, bench).collect()}
+    frequency = decontam.document_frequency(docs)
+    idf = np.log((frequency[-1] + 1) / (frequency[:-1] + 0.5)).clip(0.1).astype(np.float32)
+    plain = decontam.Search(decontam.Space(idf, np.ones((decontam.FEATURES, 1), np.float32)), items)  # every cosine is 1: only the words decide
+    want = {(d, i) for d, t in rows[:400] for i, _, _ in plain.hits(t)}
+    assert len(want) > 350 and len(want & got) >= 0.95 * len(want)
+
+
 def test_decontamination_finds_leaks_deep_in_long_texts(spark):
     rnd = random.Random(9)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
@@ -376,25 +553,24 @@ def test_decontamination_finds_leaks_deep_in_long_texts(spark):
     assert {(r.doc_id, r.item_id, r.overlap) for r in decontam.matches(docs, bench).collect()} == {(0, i, 1.0) for i in range(8)}
 
 
-def plain_firsts(rows, width=5, threshold=0.8):
-    """Smallest id of each component of rows whose shingle sets are similar."""
-    sets = []
-    for d, t in sorted(rows):
-        w = (t or "").lower().split()
-        sets.append((d, frozenset(tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset()))
-    parent = {d: d for d, _ in sets}
+def plain_firsts(rows):
+    """Of each group of linked fingerprints the first row by id, rows without one last."""
+    fps = [(d is None, d, t, plain_fingerprint(t)) for d, t in rows]
+    parent = list(range(len(fps)))
 
-    def root(d):
-        while parent[d] != d:
-            d = parent[d]
-        return d
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
 
-    for i, (a, x) in enumerate(sets):
-        for b, y in sets[:i]:
-            if x == y or len(x & y) >= threshold * len(x | y) - 1e-9 and x | y:
-                p, q = sorted((root(a), root(b)))
-                parent[q] = p
-    return sorted(d for d in parent if root(d) == d)
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i][3] ^ fps[j][3]).bit_count() <= 3:
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, f in enumerate(fps):
+        groups.setdefault(root(i), []).append(f)
+    return sorted((min(g, key=lambda f: (f[0], f[1] or 0))[1] for g in groups.values()), key=str)
 
 
 def test_near_duplicates_equal_brute_force(spark, docs, odd, none):
@@ -402,21 +578,34 @@ def test_near_duplicates_equal_brute_force(spark, docs, odd, none):
     word = lambda: f"w{rnd.randrange(400)}"
     rows = []
     for d in range(40):
-        base = [word() for _ in range(rnd.choice([3, 12, 60, 130, 200]))]
+        base = [word() for _ in range(rnd.choice([3, 12, 60, 200, 900]))]
         rows.append((10 * d, " ".join(base)))
         for k in range(1, 7):  # one to six changed words, each on top of the one before
             base[rnd.randrange(len(base))] = word()
             rows.append((10 * d + k, " ".join(base)))
+    rows += [(7, rows[0][1] + " x"), (None, rows[0][1]), (None, "alone without an id"), (None, "alone without an id")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     want = plain_firsts(rows)
-    assert 40 < len(want) < len(rows) - 100
+    assert 40 < len(want) < len(rows) - 20
     step = dict(corpus_pipeline.STAGES)["near-duplicates"]
-    assert sorted(r.doc_id for r in step(spark, frame, SF).collect()) == want
-    assert sorted(r.doc_id for r in step(spark, docs, SF).collect()) == plain_firsts([(r.doc_id, r.text) for r in docs.collect()])
+    assert sorted((r.doc_id for r in step(spark, frame, SF).collect()), key=str) == want
+    assert sorted((r.doc_id for r in step(spark, docs, SF).collect()), key=str) == plain_firsts([(r.doc_id, r.text) for r in docs.collect()])
     assert step(spark, none, SF).count() == 0
     kept = step(spark, odd, SF)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 3, 4, 6, 7, 8]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == plain_firsts([(i, t) for i, t in enumerate(ODD)])
+
+
+def test_crowded_entries_lose_no_link(spark):
+    """Thousands of fingerprints that agree on one half: the same links as without dividing the entry."""
+    rnd = random.Random(5)
+    upper = 0x5EED1234 << 32
+    fps = {upper | sum(1 << rnd.randrange(32) for _ in range(rnd.randrange(7))) for _ in range(1500)}
+    fps |= {f ^ (1 << 40) for f in list(fps)[:200]} | {rnd.getrandbits(63) for _ in range(200)}
+    frame = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp bigint")
+    told = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    want = {(a, b) for i, a in enumerate(told) for b in told[i + 1:] if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 3}
+    assert {tuple(r) for r in simhash.links(frame, crowded=100).collect()} == {tuple(r) for r in simhash.links(frame).collect()} == want
 
 
 def test_pipeline_stages(spark):
@@ -427,3 +616,47 @@ def test_pipeline_stages(spark):
         assert rows.columns == docs.columns, name
     last = corpus_pipeline.STAGES[-1][1](spark, rows, SF)
     assert 0 < last.count() < before
+
+
+def test_pipeline_on_planted_documents(spark, tmp_path):
+    """run() on a small corpus whose outcome a plain version knows: ids and digests of what survives."""
+    rnd = random.Random(21)
+    syllables = ["ri", "sto", "gar", "den", "wi", "let", "mar", "su", "mer", "can", "bo", "ta"]
+    vocabulary = ["".join(rnd.choice(syllables) for _ in range(3)) for _ in range(900)]
+    line = lambda n: " ".join(rnd.choice(vocabulary) for _ in range(n))
+    clean = [(i, "\n".join(line(rnd.randrange(20, 60)) for _ in range(4))) for i in range(160)]
+    toxic = [(200 + i, f"{line(20)} {rnd.choice(['blockhead', 'nitwit'])} {line(10)} blockhead nitwit") for i in range(60)]
+    items = [(i, line(40)) for i in range(8)]
+    leaks = [(300 + i, f"{line(60)}\n{line(25)} {items[i][1]} {line(30)}") for i in range(8)]
+    leaks.append((309, f"{line(9000)} {items[3][1]} {line(200)}"))  # deep in a long text
+    repeated = [(400, f"{clean[5][1].split(chr(10))[2]}\n{line(30)}\nles."), (401, f"les.\n\n{line(30)}")]
+    word = clean[7][1].split(" ")[12]
+    copies = [(500, clean[7][1].upper()), (501, clean[9][1])]  # the lines of a copy are repeats, nothing is left of it
+    near = [(600, line(400)), ]
+    near.append((601, near[0][1] + " " + word))
+    odd = [(700, ""), (701, None), (702, "\n\n")]
+    rows = clean + toxic + leaks + repeated + copies + near + odd
+    folder = str(tmp_path / "sf")
+    spark.createDataFrame([(i, t, "xx", "s", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(200 <= i < 300)) for i, _ in clean + toxic], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+    left = [(i, t) for i, t in sorted(rows) if not 200 <= i < 300]
+    gone, seen = set(), []
+    for i, t in left:
+        for n, x in enumerate((t or "").split("\n")):
+            words = frozenset(x.lower().split())
+            if words and any(len(words & o) >= 0.8 * len(words | o) - 1e-9 for o in seen):
+                gone.add((i, n))
+            seen.append(words)
+    left = [(i, None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone)) for i, t in left]
+    firsts = set(plain_firsts(left))
+    left = [(i, t) for i, t in left if i in firsts and not 300 <= i < 310]
+    own = Tokenizer.from_file(corpus_pipeline.TOKENIZER)
+    want = []
+    for i, t in left:
+        ids = own.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(own.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    got = corpus_pipeline.run(spark, folder).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert sorted(map(tuple, got.collect())) == want
+    assert {500, 501, 601} & {w[0] for w in want} <= {500} and {600, 400, 401} <= {w[0] for w in want}
