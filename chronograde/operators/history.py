@@ -112,18 +112,27 @@ def metric_history(
     ``company_id`` is a case-insensitive pattern (``%`` and ``_`` are wildcards); without it all
     companies are returned. Facts are reduced per entity version before they meet the dimension.
     """
-    point = ["year_label", "metric_value", "metric_value_formatted", "is_forecast", "processing_status"]
     rows = facts if not metrics else facts.filter(F.col("metric_name").isin(list(metrics)))
     entities = dim.select("entity_key", "natural_key", "valid_from")
     if company_id is not None:
         entities = entities.filter(F.ilike(trimmed(F.col("natural_key")), F.lit(company_id.strip())))
         rows = rows.join(entities.select("entity_key"), "entity_key", "left_semi")
-    per_version = rows.groupBy("entity_key", "metric_name", "calendar_year").agg(
+    return newest_points(version_points(rows, entities))
+
+
+def version_points(facts: DataFrame, dim: DataFrame) -> DataFrame:
+    """The newest point of every entity version, metric and year, with the version's natural key and start."""
+    point = ["year_label", "metric_value", "metric_value_formatted", "is_forecast", "processing_status"]
+    per_version = facts.groupBy("entity_key", "metric_name", "calendar_year").agg(
         F.max_by(F.struct(*point), F.struct("updated_at", "submission_id")).alias("point")
     )
+    return per_version.join(dim.select("entity_key", "natural_key", "valid_from"), "entity_key")
+
+
+def newest_points(points: DataFrame) -> DataFrame:
+    """Of the points of a company's versions the newest version's."""
     return (
-        per_version.join(entities, "entity_key")
-        .groupBy("natural_key", "metric_name", "calendar_year")
+        points.groupBy("natural_key", "metric_name", "calendar_year")
         .agg(F.max_by("point", F.struct("valid_from", "entity_key")).alias("point"))
         .select("natural_key", "metric_name", "calendar_year", "point.*")
     )

@@ -87,6 +87,13 @@ FILE_CONTENTS = _struct(
 # Contents that were loaded successfully, by checksum: what the duplicate test needs of all earlier batches.
 KNOWN_CONTENTS = _struct(checksum=STR, submission_id=LONG)
 
+# Trigram postings of natural keys, and counters of the reports that are kept up to date.
+NAME_GRAMS = _struct(gram=STR, name=STR)
+GRAM_COUNTS = _struct(gram=STR, names=LONG)
+REPORT_UPLOADS = _struct(run_id=LONG, outcome=STR, execution_stage=STR, error_prefix=STR, file_count=LONG)
+REPORT_ERRORS = _struct(submission_id=LONG, error_type=STR, error_per_file=LONG)
+REPORT_RUNS = _struct(run_id=LONG, total_files=LONG, success_count=LONG, failure_count=LONG, skipped_count=LONG)
+
 TABLES = {
     "submissions": SUBMISSIONS,
     "pipeline_audit_logs": AUDIT_LOG,
@@ -99,4 +106,9 @@ TABLES = {
     "pipeline_file_details": FILE_LOG,
     "pipeline_file_contents": FILE_CONTENTS,
     "known_contents": KNOWN_CONTENTS,
+    "name_grams": NAME_GRAMS,
+    "gram_counts": GRAM_COUNTS,
+    "report_uploads": REPORT_UPLOADS,
+    "report_errors": REPORT_ERRORS,
+    "report_runs": REPORT_RUNS,
 }
