@@ -292,6 +292,44 @@ def test_topk_equals_full_evaluation(spark, docs):
         assert [r.doc_id for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == [d for _, d in best]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_topk_pivot_and_skipping_lose_nothing(seed, monkeypatch):
+    """Shards searched one after the other, as a task does, against the sums of whole lists; few words, so scores tie often."""
+    rng = np.random.default_rng(seed)
+    monkeypatch.setattr(topk, "BLOCK_DOCS", 4)
+    read = []
+    sums = topk.Shard.sums
+    monkeypatch.setattr(topk.Shard, "sums", lambda self, at, w: (read.append(len(at)), sums(self, at, w))[1])
+    vocabulary = np.arange(300, dtype=np.int64) * 7
+    chance = 1 / (1 + np.arange(300.0)) ** (0.3 * seed)
+    rows = []
+    for doc in range(400):
+        if doc % 50 and rng.random() < 0.2:  # a copy of the row before
+            rows.append((doc, *rows[-1][1:]))
+            continue
+        words = rng.choice(vocabulary, rng.integers(0, 40), p=chance / chance.sum())
+        terms, tf = np.unique(words, return_counts=True)
+        rows.append((doc, int(tf.sum()), terms.tobytes(), tf.astype(np.int32).tobytes()))
+    shards = [topk.Shard([c[0].as_py() for c in topk._index(rows[s::5], 20.0).columns]) for s in range(5)]
+    queries = []
+    for _, _, t, _ in rows[::20]:
+        codes = np.frombuffer(t, np.int64)
+        queries.append((codes, 0.1 + rng.random(len(codes)) * (1 + codes % 5)))
+    best = topk.Best(len(queries), 5)
+    for shard in shards:
+        for q, (codes, weight) in enumerate(queries):
+            shard.search(q, codes, weight, best)
+    assert min(read) < max(map(len, (c for c, _ in queries)))  # lists behind a pivot were not read
+    for q, (codes, weight) in enumerate(queries):
+        scores = []
+        for d, n, t, f in rows:
+            tf = dict(zip(np.frombuffer(t, np.int64).tolist(), np.frombuffer(f, np.int32).tolist()))
+            s = sum(w * tf[c] * 2.2 / (tf[c] + 1.2 * (.25 + .75 * n / 20.0)) for c, w in zip(codes.tolist(), weight) if c in tf)
+            scores.append((-round(s, 9), d))
+        want = sorted(x for x in scores if x[0] < 0)[:5]
+        assert [(-round(s, 9), d) for s, d in zip(best.score[q], best.doc[q].tolist())] == want
+
+
 def test_topk_odd_rows(odd, none):
     ask = odd.select(F.col("doc_id").alias("query_id"), "text")
     got = topk.top_k(odd, ask).collect()
