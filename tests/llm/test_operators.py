@@ -310,7 +310,7 @@ def test_topk_pivot_and_skipping_lose_nothing(seed, monkeypatch):
         words = rng.choice(vocabulary, rng.integers(0, 40), p=chance / chance.sum())
         terms, tf = np.unique(words, return_counts=True)
         rows.append((doc, int(tf.sum()), terms.tobytes(), tf.astype(np.int32).tobytes()))
-    shards = [topk.Shard([c[0].as_py() for c in topk._index(rows[s::5], 20.0).columns]) for s in range(5)]
+    shards = [topk.Shard([c[0].as_py() for c in topk._index(rows[s::5]).columns], 20.0) for s in range(5)]
     queries = []
     for _, _, t, _ in rows[::20]:
         codes = np.frombuffer(t, np.int64)
