@@ -4,8 +4,13 @@ The kernel of two words counts common subsequences of three to five characters;
 costs the factor ``DECAY``, so words with inserted or exchanged characters stay close to the plain word. A word's
 ends count as characters. Landmarks are words of labelled sentences; the Nyström map of the kernel on them feeds a linear
 machine, which is folded back into one weight per subsequence, so scoring a word costs the same for any number
-of landmarks. A sentence is as toxic as its worst words; a logistic curve fitted on labelled texts turns
-a text's worst words into its score. Labels are only read to fit; a score depends on the text alone.
+of landmarks.
+
+The machine is trained on the labelled sentences themselves. A sentence is as toxic as its worst words, so it is a bag of words whose
+label belongs to the worst: each round, every labelled sentence names the words that the machine so far finds worst, and the machine is
+fitted anew on these, under the label of the sentence. Only the first round, which has no machine yet, starts from words that single
+counts call typical of a class. A logistic curve fitted on labelled texts turns a text's worst words into its score. Labels are
+only read to fit; a score depends on the text alone.
 """
 
 from __future__ import annotations
@@ -32,6 +37,9 @@ LANDMARKS = 384
 SAMPLE_TEXTS = 10_000
 SAMPLE_WORDS = 1_500
 THRESHOLD = 0.7
+#: Rounds in which the labelled sentences name their worst words, and how many a clean sentence names (a toxic one: one).
+ROUNDS = 3
+NAMED = 2
 COPY_HASHES = 5
 TABLE_BITS = 20
 #: Words whose scores a worker keeps; the table is emptied when full. Longer words are scored in pieces of this size.
@@ -153,7 +161,8 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model, self._known = model, {}
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
+    def words(self, texts: list[str | None]) -> list[set[str]]:
+        """The different words of each text, long ones in pieces, all of them scored."""
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
         sets = []
@@ -167,6 +176,14 @@ class Scorer:
         for at in range(0, len(new), 2048):
             part = new[at:at + 2048]
             self._known.update(zip(part, self.model.score_words(part).tolist()))
+        return sets
+
+    def worst(self, text: str | None, n: int) -> list[str]:
+        """The ``n`` words with the highest scores, ties by the word."""
+        return heapq.nsmallest(n, self.words([text])[0], key=lambda w: (-self._known[w], w))
+
+    def features(self, texts: list[str | None]) -> np.ndarray:
+        sets = self.words(texts)
         value = self._known.__getitem__
         return np.array([text_features(list(map(value, ws)), len(ws)) for ws in sets], np.float64).reshape(-1, 4)
 
@@ -234,6 +251,21 @@ def without_copies(rows: DataFrame) -> DataFrame:
     return rows.withColumn("low", low).dropDuplicates(["label", "low"]).drop("low")
 
 
+def named_words(rows: DataFrame, model: Model) -> list[tuple[str, int, int]]:
+    """(word, class, number of sentences): the words that the labelled texts (``text``, ``label``) name as their worst."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            out = [(w, 1 if label else -1) for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                   for w in scorer.worst(text, 1 if label else NAMED)]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([c for _, c in out], pa.int64())], names=["word", "class"])
+
+    named = rows.select("text", F.col("label").cast("bigint")).mapInArrow(run, "word string, class bigint")
+    return [tuple(r) for r in named.groupBy("word", "class").agg(F.count(F.lit(1)).alias("n")).collect()]  # at most 1 + NAMED for each sampled text
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model:
     """Fits on at most ``sample`` labelled texts of either class, picked by a hash of their id; null labels don't count.
 
@@ -249,10 +281,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     rows = stage(spark, without_copies(rows), "labelled_once")
     release(labelled)
     evidence = word_evidence(rows)
-    empty = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.float32)
     if len({y for _, y, _ in evidence}) < 2:
         share = float(rows.agg(F.avg("label")).first()[0] or 0.0)
-        return Model(*empty, 0.0, np.array([0, 0, 0, 0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))]))
+        return Model(np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.float32), 0.0, np.array([0, 0, 0, 0, float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))]))
     words = [w for w, _, _ in evidence]
     y = np.array([c for _, c, _ in evidence], float)
     by_class = [sorted((i for i in range(len(words)) if y[i] == c), key=lambda i: (-abs(evidence[i][2]), words[i])) for c in (1, -1)]
@@ -262,15 +293,36 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     value, vector = np.linalg.eigh(kernel)
     kept = value > 1e-8 * value[-1]
     root = vector[:, kept] / np.sqrt(value[kept])  # kernel to the power -1/2
-    x = np.vstack([_features(words[at:at + 256], known_codes)[0] @ z.T for at in range(0, len(words), 256)]) @ root
-    weight = np.where(y > 0, (y < 0).sum() / max((y > 0).sum(), 1), 1.0)
-    w = _machine(x, y, np.clip(weight, 0.2, 5), 0.1, True)
-    folded = (root @ w[:-1]) @ z  # one weight for each subsequence of the landmarks
+    places: dict[str, np.ndarray] = {}
+
+    def mapped(some: list[str]) -> np.ndarray:
+        new = sorted((w for w in some if w not in places), key=lambda w: (len(w), w))
+        for at in range(0, len(new), 256):
+            part = new[at:at + 256]
+            places.update(zip(part, _features(part, known_codes)[0] @ z.T @ root))
+        return np.vstack([places[w] for w in some])
+
     codes = np.fromiter(known_codes, np.uint64, len(known_codes))
-    order = np.argsort(np.abs(folded))  # where two share a slot, the heavier stays
     slot = (codes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-    empty[0][slot[order]], empty[1][slot[order]] = codes[order], folded[order]
-    model = Model(*empty, float(w[-1]), np.zeros(5))
+
+    def machine(some: list[str], label: np.ndarray, times: np.ndarray) -> Model:
+        even = times[label < 0].sum() / max(times[label > 0].sum(), 1)
+        weight = times / times.mean() * np.where(label > 0, np.clip(even, 0.2, 5), 1.0)
+        w = _machine(mapped(some), label, weight, 0.1, True)
+        folded = (root @ w[:-1]) @ z  # one weight for each subsequence of the landmarks
+        check, value = np.zeros(1 << TABLE_BITS, np.uint64), np.zeros(1 << TABLE_BITS, np.float32)
+        order = np.argsort(np.abs(folded), kind="stable")  # where two share a slot, the heavier stays
+        check[slot[order]], value[slot[order]] = codes[order], folded[order]
+        return Model(check, value, float(w[-1]), np.zeros(5))
+
+    model = machine(words, y, np.ones(len(words)))
+    seen_words: dict[tuple[str, int], int] = {}
+    for _ in range(ROUNDS):
+        now = {(w, c): n for w, c, n in named_words(rows, model)}
+        # clean sentences keep what they named before, or the words that the last round has put right come back
+        seen_words = {k: n for k, n in seen_words.items() if k[1] < 0} | now
+        bag = sorted(seen_words)
+        model = machine([w for w, _ in bag], np.array([c for _, c in bag], float), np.array([seen_words[k] for k in bag], float))
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

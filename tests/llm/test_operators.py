@@ -212,6 +212,25 @@ def test_only_near_copies_are_left_out_of_the_fit(spark):
     assert 290 <= kept.count() <= 325  # the texts that share eight words stay, copies go
 
 
+def test_labelled_sentences_name_their_worst_words(spark):
+    """Against a plain sort of each sentence's words by the machine's value."""
+    rnd = random.Random(5)
+    syllables = ["ri", "sto", "gar", "den", "wi", "let", "mar", "su", "mer", "can"]
+    rows = [(" ".join("".join(rnd.choices(syllables, k=3)) for _ in range(12)) + (" blockhead" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(120)]
+    rows += [(None, 0), ("", 1)]
+    df = spark.createDataFrame(rows, "text string, label bigint")
+    ids = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(ids.select("doc_id", "text"), ids.select("doc_id", "toxic"))
+    want = {}
+    for text, label in rows:
+        words = sorted(set((text or "").split()))
+        value = dict(zip(words, toxicity.Scorer(model).model.score_words(words))) if words else {}
+        for w in sorted(words, key=lambda w: (-value[w], w))[:1 if label else toxicity.NAMED]:
+            want[w, 1 if label else -1] = want.get((w, 1 if label else -1), 0) + 1
+    got = {(w, c): n for w, c, n in toxicity.named_words(df, model)}
+    assert got == want and got["blockhead", 1] == 40
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     marks = spark.createDataFrame([(3, None), (4, 1), (4, 1), (5, 0), (None, 1)], "doc_id bigint, toxic int")
     got = toxicity.train_and_score(odd, marks).collect()
