@@ -556,6 +556,31 @@ def test_decontamination_finds_leaks_only(spark, odd, none):
     assert decontam.keep_uncontaminated(odd, bench).count() == odd.count()
 
 
+@pytest.mark.parametrize("words", [3, 19, 20, 21, 95, 700])
+def test_candidates_keep_every_window_with_enough_words(words):
+    """The check on marked blocks against plain sets, for every window and item, with passages near to everything."""
+    rnd = random.Random(words)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, rnd.choices(vocabulary, k=rnd.choice([1, 5, 20, 33, 41]))) for i in range(40)]
+    rng = np.random.default_rng(words)
+    space = decontam.Space(np.ones(decontam.FEATURES, np.float32), rng.standard_normal((decontam.FEATURES, 4), dtype=np.float32))
+    search = decontam.Search(space, items)
+    text = rnd.choices(vocabulary + ["other", "more"], k=words)
+    ids = decontam.ids_of(text, search.known)
+    blocks = -(-words // decontam.BLOCK)
+    held = np.zeros((blocks, search.columns), bool)
+    held[np.arange(words) // decontam.BLOCK, search.column[ids]] = True
+    for (width, group, _), places in zip(search.groups, search.places):
+        n = max(1, blocks - width + 1)
+        got = set(search._with_enough_words(held, np.ones((n, len(group))), width, places, search.least[group]))
+        for at, g in itertools.product(range(n), range(len(group))):
+            part, item = set(text[at * decontam.BLOCK:(at + width) * decontam.BLOCK]), items[group[g]][1]
+            enough = sum(w in part for w in item) >= decontam.LCS * len(item)
+            assert enough <= ((at, g) in got)
+            same = {decontam.ids_of([w], search.known)[0] for w in part}
+            assert ((at, g) in got) == (sum(decontam.ids_of([w], search.known)[0] in same for w in item) >= decontam.LCS * len(item))
+
+
 def test_decontamination_items_without_or_with_repeated_ids(spark):
     rnd = random.Random(18)
     prose = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(n))
