@@ -556,6 +556,20 @@ def test_decontamination_finds_leaks_only(spark, odd, none):
     assert decontam.keep_uncontaminated(odd, bench).count() == odd.count()
 
 
+@pytest.mark.parametrize("piece", [1, 7, 64, 1 << 20])
+def test_features_of_a_text_are_those_of_its_words(piece, monkeypatch):
+    monkeypatch.setattr(decontam, "PIECE", piece)
+    texts = [t for t in ODD] + ["_a__b_", "Straße ΟΔΟΣ Σ İstanbul 東京都 a\u0301 1,000 x²", "ab" * 3000 + " ab", "😀😀", "-a", "a-"]
+    for text in texts:
+        words = decontam.words_of(text)
+        got = decontam.features_of(text).tolist()
+        assert got == [decontam.ids_of([w])[0] for w in words]
+        assert all(0 <= i < decontam.FEATURES for i in got)
+    many = [f"word{i}" for i in range(20_000)]
+    spread = np.bincount(decontam.ids_of(many), minlength=decontam.FEATURES)
+    assert spread.max() <= 10 and (spread > 0).sum() > 0.65 * decontam.FEATURES  # as even as chance has it
+
+
 @pytest.mark.parametrize("words", [3, 19, 20, 21, 95, 700])
 def test_candidates_keep_every_window_with_enough_words(words):
     """The check on marked blocks against plain sets, for every window and item, with passages near to everything."""
@@ -566,7 +580,7 @@ def test_candidates_keep_every_window_with_enough_words(words):
     space = decontam.Space(np.ones(decontam.FEATURES, np.float32), rng.standard_normal((decontam.FEATURES, 4), dtype=np.float32))
     search = decontam.Search(space, items)
     text = rnd.choices(vocabulary + ["other", "more"], k=words)
-    ids = decontam.ids_of(text, search.known)
+    ids = decontam.ids_of(text)
     blocks = -(-words // decontam.BLOCK)
     held = np.zeros((blocks, search.columns), bool)
     held[np.arange(words) // decontam.BLOCK, search.column[ids]] = True
@@ -577,8 +591,8 @@ def test_candidates_keep_every_window_with_enough_words(words):
             part, item = set(text[at * decontam.BLOCK:(at + width) * decontam.BLOCK]), items[group[g]][1]
             enough = sum(w in part for w in item) >= decontam.LCS * len(item)
             assert enough <= ((at, g) in got)
-            same = {decontam.ids_of([w], search.known)[0] for w in part}
-            assert ((at, g) in got) == (sum(decontam.ids_of([w], search.known)[0] in same for w in item) >= decontam.LCS * len(item))
+            same = {int(decontam.ids_of([w])[0]) for w in part}
+            assert ((at, g) in got) == (sum(int(i) in same for i in decontam.ids_of(item)) >= decontam.LCS * len(item))
 
 
 def test_decontamination_items_without_or_with_repeated_ids(spark):
