@@ -293,13 +293,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     value, vector = np.linalg.eigh(kernel)
     kept = value > 1e-8 * value[-1]
     root = vector[:, kept] / np.sqrt(value[kept])  # kernel to the power -1/2
+    keys, onto = np.fromiter(known_codes, np.uint64, len(known_codes)), z.T @ root  # each subsequence's place in the landmarks' space
     places: dict[str, np.ndarray] = {}
 
     def mapped(some: list[str]) -> np.ndarray:
         new = sorted((w for w in some if w not in places), key=lambda w: (len(w), w))
         for at in range(0, len(new), 256):
             part = new[at:at + 256]
-            places.update(zip(part, _features(part, known_codes)[0] @ z.T @ root))
+            found, heavy = subsequences(part)
+            column = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+            hit = (keys[column] == found) & (found != 0)
+            norm = lengths_norm(np.fromiter(map(len, part), np.int64, len(part)))
+            for i, w in enumerate(part):  # few of a word's subsequences are any landmark's
+                places[w] = heavy[hit[i]] @ onto[column[i][hit[i]]] / norm[i]
         return np.vstack([places[w] for w in some])
 
     codes = np.fromiter(known_codes, np.uint64, len(known_codes))
