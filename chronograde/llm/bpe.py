@@ -1,7 +1,7 @@
 """BPE encoding through a minimal acyclic transducer of frequent words.
 
-The tokenizer file gives vocabulary and merge ranks. The most frequent word forms of the corpus (counted on a bounded
-sample, see ``ship_lexicon``) are encoded once and compiled into a minimal automaton: words share prefixes and suffixes, and the
+The tokenizer file gives vocabulary and merge ranks. The most frequent word forms of the corpus (counted over all documents,
+see ``ship_lexicon``) are encoded once and compiled into a minimal automaton: words share prefixes and suffixes, and the
 number of words that an arc skips adds up to a word's index, under which its ids are stored. The arrays are shipped
 once to each executor and memory-mapped there, so workers of one machine share the pages. Other words are merged
 exactly, by rank and position.
@@ -31,8 +31,6 @@ from chronograde.session import shared_folder
 
 #: Word forms in the automaton. More only saves merging; results do not depend on it.
 LEXICON_WORDS = 60_000
-#: Documents that the forms are counted on.
-SAMPLE_DOCS = 20_000
 #: Word forms that a worker keeps; the table is emptied when full.
 CACHE_WORDS = 300_000
 #: Longer forms are not kept, which bounds the table's memory.
@@ -264,7 +262,8 @@ class Encoder:
         if len(self._ids) > CACHE_WORDS:
             self._ids.clear()
             self._decoded.clear()
-        new = list(set().union(*forms) - self._ids.keys())
+        # one by one: the set difference with a dictionary's keys would pass through the whole table for every batch
+        new = [f for f in set().union(*forms) if f not in self._ids]
         for form, at in zip(new, self.lexicon.find(new).tolist()):
             if at >= 0:
                 ids = self.lexicon.ids[self.lexicon.offsets[at]:self.lexicon.offsets[at + 1]].tolist()
@@ -280,13 +279,21 @@ class Encoder:
 
 
 _workers: dict[tuple, Encoder] = {}
+_tokenizers: dict[str, WordBpe] = {}
+
+
+def _tokenizer(path: str) -> WordBpe:
+    """The tokenizer of a worker, read once and not by every task."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordBpe(path)
+    return _tokenizers[path]
 
 
 def _worker(tokenizer: str, name: str) -> Encoder:
     if (tokenizer, name) not in _workers:
         _workers.clear()
         _workers[tokenizer, name] = Encoder(
-            WordBpe(tokenizer), Lexicon.mapped(lambda k: SparkFiles.get(f"{name}-{k}.npy")))
+            _tokenizer(tokenizer), Lexicon.mapped(lambda k: SparkFiles.get(f"{name}-{k}.npy")))
     return _workers[tokenizer, name]
 
 
@@ -294,7 +301,7 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``form``, ``n``: how often each word form of up to ``CACHE_CHARS`` characters occurs in the documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, counts = WordBpe(tokenizer), Counter()
+        bpe, counts = _tokenizer(tokenizer), Counter()
 
         def emit() -> pa.RecordBatch:
             kept = [(f, n) for f, n in counts.items() if len(f) <= CACHE_CHARS]
@@ -327,14 +334,13 @@ def frequent(counts: DataFrame, words: int) -> list[str]:
     return [] if least is None else sorted(r["form"] for r in counts.where(F.col("n") >= least).select("form").collect())
 
 
-def ship_lexicon(spark: SparkSession, docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS, sample: int = SAMPLE_DOCS) -> str:
+def ship_lexicon(spark: SparkSession, docs: DataFrame, tokenizer: str, words: int = LEXICON_WORDS) -> str:
     """Compiles the most frequent forms and gives the files to all executors; returns the files' common name.
 
-    Forms are counted on about ``sample`` documents, picked by a hash of their text. Which forms are in the lexicon only
-    decides how fast they are encoded, never how. The files lie in the shared folder until the driver ends.
+    Forms are counted over every document. Which forms are in the lexicon only decides how fast they are encoded, never how. The
+    files lie in the shared folder until the driver ends.
     """
-    share = max(1, -(-docs.count() // sample))
-    counts = stage(spark, word_counts(docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0), tokenizer), "forms")
+    counts = stage(spark, word_counts(docs, tokenizer), "forms")
     top = frequent(counts, words)
     release(counts)
     name = f"lexicon-{uuid.uuid4().hex}"

@@ -459,6 +459,26 @@ def test_frequent_forms(spark):
     assert bpe.frequent(counts.limit(0), 5) == []
 
 
+def test_lexicon_counts_every_document(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(bpe, "frequent", lambda counts, words: seen.append({r.form: r.n for r in counts.collect()}) or [])
+    frame = spark.range(20_050).selectExpr("id AS doc_id", "concat('word ', CASE WHEN id % 2 = 0 THEN 'even' ELSE 'odd' END, id % 7) AS text")
+    bpe.ship_lexicon(spark, frame, corpus_pipeline.TOKENIZER)
+    assert seen[0]["word"] == 20_050 and seen[0]["even"] == seen[0]["odd"] == 10_025
+
+
+def test_encoding_costs_do_not_grow_with_the_table_of_forms():
+    class Table(dict):
+        def keys(self):
+            raise AssertionError("passes through all kept forms")
+
+    own = bpe.WordBpe(corpus_pipeline.TOKENIZER)
+    encoder = bpe.Encoder(own, bpe.Lexicon(bpe.Lexicon.compiled(own, ["a"])))
+    encoder._ids = Table()
+    whole = [i for i, _ in encoder.batch(["a b", "b c"])]
+    assert whole == [i for i, _ in encoder.batch(["a b", "b c"])]
+
+
 def test_automaton_is_minimal_and_complete():
     words = sorted(w.encode() for w in {"tap", "taps", "top", "tops", "stop", "stops", "é"})
     arrays = bpe.build_automaton(words)
