@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronograde.llm.common import stage
+from chronograde.llm.common import release, stage
 
 FEATURES = 1 << 14
 RANK = 64
@@ -31,12 +31,14 @@ COSINE = 0.45
 SURE = 0.7
 LCS = 0.5
 ANSWER = 0.5
-#: Documents (picked by a hash of their id) that the latent space is fitted on; every document is searched.
+#: Without effect: the latent space is fitted on every document. The name stays because callers set it.
 SAMPLE_DOCS = 8_192
 #: Items compared at once; more are searched for in further passes, which bounds what is broadcast.
 ITEM_BLOCK = 4_096
 #: Words of a long text handled at once, whole blocks: block ``n`` of a text starts at word ``n * BLOCK``.
 CHUNK = BLOCK * 410
+#: Words added up at once when the space is fitted; the more, the fewer times a feature's row is touched.
+FIT_RUN = 4 * CHUNK
 SEED = 7
 #: Code points hashed at once; a longer word is hashed whole.
 PIECE = 1 << 16
@@ -99,25 +101,83 @@ def ids_of(words: list[str]) -> np.ndarray:
     return features_of(" ".join(words))
 
 
-def document_frequency(docs: DataFrame) -> np.ndarray:
+def _features(docs: DataFrame) -> DataFrame:
+    """``ids``: the features of each document's words, as little-endian 16-bit integers."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                made = [features_of(t).astype("<u2").tobytes() for t in batch.column(0).slice(at, 256).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["ids"])
+
+    return docs.select("text").mapInArrow(run, "ids binary")
+
+
+def _frequency(features: DataFrame) -> np.ndarray:
     """Number of documents that each feature occurs in, over all of them; the last entry is their number."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                n[np.unique(features_of(text))] += 1
+            for ids in batch.column(0).to_pylist():
+                own = np.sort(np.frombuffer(ids, "<u2"), kind="stable")
+                n[own[np.flatnonzero(np.diff(own.view("<i2"), prepend=-1))]] += 1
                 n[-1] += 1
         there = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["feature", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    rows = features.mapInArrow(run, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
     out = np.zeros(FEATURES + 1, np.int64)
     for r in rows.collect():  # at most FEATURES + 1 rows
         out[r["feature"]] = r["n"]
     return out
 
 
+def document_frequency(docs: DataFrame) -> np.ndarray:
+    """Number of documents that each feature occurs in, over all of them; the last entry is their number."""
+    return _frequency(_features(docs))
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Features of whole documents side by side, ``FIT_RUN`` at a time, each document filled up to whole blocks with ``FEATURES``.
+
+    Short documents share a run, so the work on a run is spread over many of them; a long one is cut at a block.
+    """
+    held, size = [], 0
+    for batch in batches:
+        for data in batch.column(0).to_pylist():
+            ids = np.frombuffer(data, "<u2").astype(np.int64)
+            for at in range(0, len(ids), FIT_RUN):
+                part = ids[at:at + FIT_RUN]
+                gap = -len(part) % BLOCK
+                if size + len(part) + gap > FIT_RUN:
+                    yield np.concatenate(held)
+                    held, size = [], 0
+                held += [part, np.full(gap, FEATURES)] if gap else [part]
+                size += len(part) + gap
+    if held:
+        yield np.concatenate(held)
+
+
+def _group_sums(rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the runs of rows that begin at ``first``, and the order of the runs they come in.
+
+    The k-th rows of all runs long enough are added at once, which is far cheaper than run by run; the few longest runs end alone.
+    """
+    size = np.diff(first, append=len(rows))
+    by = np.argsort(-size, kind="stable")
+    size, first = size[by], first[by]
+    sums = rows[first]
+    k, active = 1, int(np.searchsorted(-size, -1, "left"))
+    while active >= 16:
+        sums[:active] += rows[first[:active] + k]
+        k += 1
+        active = int(np.searchsorted(-size, -k, "left"))
+    for i in range(active):
+        sums[i] += rows[first[i] + k:first[i] + size[i]].sum(axis=0)
+    return by, sums
+
+
 def _passages(ids: np.ndarray, weighted: np.ndarray) -> np.ndarray:
     """Sum of weighted basis rows for each block of words."""
     whole = len(ids) // BLOCK * BLOCK
@@ -133,16 +193,15 @@ class Space:
     weighted: np.ndarray
 
 
-def fit_space(docs: DataFrame, blocks: Callable[[], Iterator[list[list[str]]]], frequency: np.ndarray) -> Space:
-    """Two passes over the sampled documents and all items: the range of the transposed product, then its singular values.
+def fit_space(features: DataFrame, blocks: Callable[[], Iterator[list[list[str]]]], frequency: np.ndarray) -> Space:
+    """Two passes over all documents and all items: the range of the transposed product, then its singular values.
 
-    ``blocks`` gives the words of all items, a bounded number at a time; the space is one for all of them.
+    ``features`` are those of all documents (see ``_features``). ``blocks`` gives the words of all items, a bounded number at a
+    time; the space is one for all of them.
     """
-    spark = docs.sparkSession
+    spark = features.sparkSession
     total = int(frequency[-1])
     idf = np.log((total + 1) / (frequency[:-1] + 0.5)).clip(0.1).astype(np.float32)
-    share = max(1, -(-total // SAMPLE_DOCS))
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("text")
     rank = min(RANK, FEATURES)
     rng = np.random.default_rng(SEED)
     omega = rng.standard_normal((FEATURES, rank), dtype=np.float32)
@@ -162,20 +221,21 @@ def fit_space(docs: DataFrame, blocks: Callable[[], Iterator[list[list[str]]]],
 
     shared = spark.sparkContext.broadcast((idf, omega))
 
+    def filled(left: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Weighted rows of a basis, and a row of zeros for the words that fill up a block."""
+        return np.vstack([left * weights[:, None], np.zeros((1, left.shape[1]), np.float32)])
+
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, left = shared.value
-        out, weighted = np.zeros((FEATURES, rank), np.float32), left * weights[:, None]
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                every = features_of(text)
-                for at in range(0, len(every), CHUNK):
-                    ids = every[at:at + CHUNK]
-                    y = _passages(ids, weighted)
-                    y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-6)
-                    # rows of one feature are added up first, sorted, which is far cheaper than one by one
-                    order = np.argsort(ids, kind="stable")
-                    first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-                    out[ids[order][first]] += np.add.reduceat(y[order // BLOCK] * weights[ids[order], None], first, axis=0)
+        out, weighted = np.zeros((FEATURES + 1, rank)), filled(left, weights)
+        for ids in _runs(batches):
+            y = _passages(ids, weighted)
+            y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-6)
+            order = np.argsort(ids.astype(np.uint16), kind="stable")
+            first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+            by, sums = _group_sums(y[order // BLOCK], first)
+            out[ids[order[first[by]]]] += sums
+        out = (out[:-1] * weights[:, None]).astype(np.float32)
         there = np.flatnonzero(np.abs(out).sum(axis=1))
         for at in range(0, len(there), 2048):
             part = there[at:at + 2048]
@@ -192,7 +252,7 @@ def fit_space(docs: DataFrame, blocks: Callable[[], Iterator[list[list[str]]]],
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([out[f].astype(np.float32).tobytes() for f in part], pa.binary())], names=["feature", "row"])
 
     form = "feature bigint, row binary"
-    rows = sample.mapInArrow(spread, form).repartition("feature").mapInArrow(add_up, form)
+    rows = features.mapInArrow(spread, form).repartition("feature").mapInArrow(add_up, form)
     y = np.zeros((FEATURES, rank))
     for r in rows.toLocalIterator():  # FEATURES rows in all
         y[r["feature"]] += np.frombuffer(r["row"], np.float32)
@@ -204,17 +264,14 @@ def fit_space(docs: DataFrame, blocks: Callable[[], Iterator[list[list[str]]]],
 
     def squares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, left = whole.value
-        out, weighted = np.zeros((rank, rank)), left * weights[:, None]
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                every = features_of(text)
-                for at in range(0, len(every), CHUNK):
-                    z = _passages(every[at:at + CHUNK], weighted)
-                    out += z.T @ z
+        out, weighted = np.zeros((rank, rank)), filled(left, weights)
+        for ids in _runs(batches):
+            z = _passages(ids, weighted)
+            out += z.T @ z
         yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["square"])
 
     gram = np.zeros((rank, rank))
-    for r in sample.mapInArrow(squares, "square binary").toLocalIterator():
+    for r in features.mapInArrow(squares, "square binary").toLocalIterator():
         gram += np.frombuffer(r["square"]).reshape(rank, rank)
     weighted, square = basis * idf[:, None], np.zeros((rank, rank))
     for ids in own():
@@ -376,7 +433,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = spark.createDataFrame([], form)
     if named.isEmpty():
         return found
-    space = fit_space(docs, lambda: ([w for _, w in block] for block in blocks()), document_frequency(docs))
+    features = stage(spark, _features(docs), "features")
+    space = fit_space(features, lambda: ([w for _, w in block] for block in blocks()), _frequency(features))
+    release(features)
     for block in blocks():
         found = found.union(_searched(spark, docs, space, block, form))
     return found

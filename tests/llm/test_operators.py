@@ -653,6 +653,38 @@ def test_decontamination_recall_of_paraphrases(spark, monkeypatch):
     assert len(want) > 350 and len(want & got) >= 0.95 * len(want)
 
 
+def test_latent_space_is_fitted_on_every_document(spark, monkeypatch):
+    """Far more documents than the sample had: the space equals one computed document by document, whatever runs they share."""
+    rnd = random.Random(21)
+    word = lambda: "".join(rnd.choice("abcdef") for _ in range(3))
+    texts = [" ".join(word() for _ in range(rnd.choice([0, 1, 19, 20, 21, 45, 130]))) for _ in range(120)] + [None]
+    items = [[[word() for _ in range(30)] for _ in range(4)]]
+    monkeypatch.setattr(decontam, "SAMPLE_DOCS", 5)
+    monkeypatch.setattr(decontam, "FIT_RUN", 5 * decontam.BLOCK)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+    features = decontam._features(docs)
+    assert sorted(r.ids for r in features.collect()) == sorted(decontam.features_of(t).astype("<u2").tobytes() for t in texts)
+    frequency = decontam._frequency(features)
+    got = decontam.fit_space(features, lambda: iter(items), frequency)
+    idf = got.idf
+    x = lambda ids: np.array([np.bincount(ids[at:at + decontam.BLOCK], minlength=decontam.FEATURES) for at in range(0, len(ids), decontam.BLOCK)]) * idf
+    blocks = lambda all_ids: np.vstack([x(ids) for ids in all_ids if len(ids)])
+    corpus, own = blocks(map(decontam.features_of, texts)), blocks(decontam.ids_of(w) for w in items[0])
+    omega = np.random.default_rng(decontam.SEED).standard_normal((decontam.FEATURES, decontam.RANK), dtype=np.float32)
+
+    def product(rows):
+        y = rows @ omega
+        out = rows.T @ (y / np.linalg.norm(y, axis=1, keepdims=True))
+        return out / np.linalg.norm(out)
+
+    basis = np.linalg.qr(product(corpus) + product(own))[0]
+    square = lambda rows: (g := (rows @ basis).T @ (rows @ basis)) / np.trace(g)
+    value, vector = np.linalg.eigh(square(corpus) + square(own))
+    scale = 1 / (np.maximum(value, 0) + 1e-3 * value.mean())
+    want = idf[:, None] * basis @ ((vector * scale) @ vector.T) @ basis.T * idf  # inner products of all features
+    assert np.abs(got.weighted @ got.weighted.T - want).max() < 1e-2 * np.abs(want).max()
+
+
 def test_decontamination_finds_leaks_deep_in_long_texts(spark):
     rnd = random.Random(9)
     word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
