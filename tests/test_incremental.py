@@ -373,3 +373,10 @@ def test_a_sheet_of_many_rows_spans_tasks(spark, all_partitions):
     assert sheets.metadata_last_wins(placed).count() == 700
     plan = sheets.placed_rows(cells, "[A]")._jdf.queryExecution().executedPlan().toString()
     assert "keys=[file_id" in plan and all("collect_list" not in line for line in plan.split("\n") if "keys=[file_id" in line and "row_idx" not in line.split("functions")[0])
+
+
+def test_cells_by_file_are_not_shuffled(spark):
+    from chronograde.sources import fixtures as fx
+
+    plan = grid.documents(fx.cells(spark, "/root/testdata/sf0.001", by_file=True), fx.FIXTURE_ANCHOR)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Union") == 1 and "Exchange" not in plan.split("Union")[0]
