@@ -380,3 +380,10 @@ def test_cells_by_file_are_not_shuffled(spark):
 
     plan = grid.documents(fx.cells(spark, "/root/testdata/sf0.001", by_file=True), fx.FIXTURE_ANCHOR)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Union") == 1 and "Exchange" not in plan.split("Union")[0]
+
+
+def test_spanning_points_join_once(spark):
+    df = spark.createDataFrame([(1, 0, 1, "[A]"), (1, 0, 2, "2023")], "file_id long, row_idx int, col_idx int, value string")
+    joins = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    placed = sheets.placed_rows(df, "[A]")
+    assert joins(sheets.metric_points(placed)) <= joins(placed)
