@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from chronograde.llm import bpe, decontam, html_extract, line_dedup, packing, pii, queries, simhash, topk, toxicity, warc
-from chronograde.llm.common import components, table
+from chronograde.llm.common import components, shuffles_end_with_the_write, table
 
 SF = "/root/testdata/sf0.001"
 CLASHING = "doc_id bigint, text string, fp bigint, n int, words string, score double, component_id string"
@@ -392,6 +392,17 @@ def test_warc_round_trip(spark, tmp_path):
         warc.read_records(chunks.withColumn("data", F.when(F.col("chunk") == 1, F.expr("cast(repeat('z', octet_length(data)) as binary)")).otherwise(F.col("data")))).collect()
 
 
+def test_shuffles_end_with_the_write(spark, tmp_path):
+    """The setting holds while a result is written, also where nobody has set it before, and not behind that."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.unset(key)
+    with shuffles_end_with_the_write(spark):
+        assert spark.conf.get(key) == "true"
+        spark.range(1000).repartition(4, "id").write.parquet(f"{tmp_path}/rows")
+    assert spark.conf.get(key) == "false"
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 1000
+
+
 def test_warc_of_pages_equals_brute_force(spark):
     rows = [tuple(r) for r in table(spark, SF, "pages").select("page_id", "url", "html").collect()]
     got = queries.op6_warc(spark, SF).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
