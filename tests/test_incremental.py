@@ -70,6 +70,16 @@ def test_merge_reads_and_writes_only_touched_buckets(spark, tmp_path):
     assert warehouse.check_touched(store, other)["repeated_entities"].count() == 0
 
 
+def test_filters_are_no_larger_than_their_rows(spark, tmp_path):
+    """The file of a bucket with a few rows has no filter of a megabyte for each looked-up column."""
+    store = Store(spark, str(tmp_path), buckets=8)
+    rows = make(spark, [row(i, f"k{i}", i, "a", "x") for i in range(40)])
+    entities = scd2.entity_history(scd2.annotate_versions(scd2.batch_rows(rows)))
+    folder = store.prepare("dim_entities", Write(entities.withColumn("key_bucket", store.bucket("natural_key")), "versioned")).data
+    files = list((tmp_path / folder).rglob("*.parquet"))
+    assert files and max(f.stat().st_size for f in files) < 500_000
+
+
 def test_known_contents(spark, tmp_path):
     store = Store(spark, str(tmp_path), buckets=8)
     old = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("checksum"), F.col("id").alias("submission_id"))
@@ -382,6 +392,13 @@ def test_cells_by_file_are_not_shuffled(spark):
     assert plan.count("Union") == 1 and "Exchange" not in plan.split("Union")[0]
 
 
+def test_payloads_shuffle_orders_and_items_once(spark):
+    from chronograde.sources import fixtures as fx
+
+    plan = fx.payloads(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
 def test_spanning_points_join_once(spark):
     df = spark.createDataFrame([(1, 0, 1, "[A]"), (1, 0, 2, "2023")], "file_id long, row_idx int, col_idx int, value string")
     joins = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("Join ")
