@@ -15,11 +15,11 @@ only read to fit; a score depends on the text alone.
 
 from __future__ import annotations
 
-import heapq
 import string
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from functools import cached_property, lru_cache
+from itertools import chain, combinations
 
 import numpy as np
 import pandas as pd
@@ -42,11 +42,14 @@ ROUNDS = 3
 NAMED = 2
 COPY_HASHES = 5
 TABLE_BITS = 20
-#: Words whose scores a worker keeps; the table is emptied when full. Longer words are scored in pieces of this size.
+#: Words whose scores a worker keeps from task to task; when there are so many, further ones are scored anew for each batch.
 CACHE_WORDS = 400_000
+#: Longer words are scored in pieces of this size.
 PIECE = 40
+#: Texts whose new words are scored together.
+BATCH = 128
 
-_STRIP = str.maketrans("", "", string.punctuation + "“”„«»‘’…·•–—")
+_STRIP = string.punctuation + "“”„«»‘’…·•–—"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _PATTERNS = [(p, (0, *rest), DECAY ** (rest[-1] + 1 - p))
              for p in LENGTHS for rest in combinations(range(1, p + GAPS), p - 1)]
@@ -54,7 +57,11 @@ _PATTERNS = [(p, (0, *rest), DECAY ** (rest[-1] + 1 - p))
 
 def words_of(text: str | None) -> list[str]:
     """Lower-case words without punctuation; single characters in a row (``i d i o t``) are also taken as one word."""
-    words = (text or "").lower().translate(_STRIP).split()
+    plain = (text or "").lower()
+    for c in _STRIP:  # far cheaper than one table for all characters
+        if c in plain:
+            plain = plain.replace(c, "")
+    words = plain.split()
     if sum(map((1).__eq__, map(len, words))) < 3:
         return words
     run, joined = [], []
@@ -78,16 +85,18 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     chars[np.repeat(np.arange(len(words)), size), at] = flat
     chars[:, 0] = 2
     chars[np.arange(len(words)), size + 1] = 3
-    codes, weights = [], []
-    for p, offsets, weight in _PATTERNS:
-        code = np.full((len(words), width), np.uint64(p))
-        for o in offsets:
-            code = (code ^ chars[:, o:o + width]) * _MIX
+    codes, there = np.zeros((len(words), len(_PATTERNS) * width), np.uint64), chars != 0
+    before, steps = (), []
+    for i, (p, offsets, _) in enumerate(_PATTERNS):
+        path = (p, *offsets)  # a pattern goes on from where it leaves the one before
+        kept = next((k for k in range(min(len(path), len(before))) if path[k] != before[k]), 0)
+        before, steps = path, steps[:kept] or [np.uint64(p)]
+        for o in path[len(steps):]:
+            code = (steps[-1] ^ chars[:, o:o + width]) * _MIX
             code ^= code >> np.uint64(29)
-        inside = chars[:, offsets[-1]:offsets[-1] + width] != 0
-        codes.append(np.where(inside, code, np.uint64(0)))
-        weights.append(np.full(width, weight))
-    return np.concatenate(codes, axis=1), np.concatenate(weights)
+            steps.append(code)
+        np.copyto(codes[:, i * width:(i + 1) * width], steps[-1], where=there[:, offsets[-1]:offsets[-1] + width])
+    return codes, np.repeat([weight for _, _, weight in _PATTERNS], width)
 
 
 def lengths_norm(size: np.ndarray) -> np.ndarray:
@@ -130,7 +139,7 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, squ
     return w
 
 
-@dataclass
+@dataclass(eq=False)
 class Model:
     """Weights by subsequence in a hash table, the machine's bias, and the logistic curve over ``text_features``."""
 
@@ -139,10 +148,18 @@ class Model:
     bias: float
     curve: np.ndarray
 
+    @cached_property
+    def used(self) -> np.ndarray:
+        """Whether a slot holds a subsequence: small enough to stay near the processor, and most slots don't."""
+        return self.check != 0
+
     def score_words(self, words: list[str]) -> np.ndarray:
         codes, weights = subsequences(words)
-        slot = (codes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
-        value = np.where(self.check[slot] == codes, self.weight[slot], np.float32(0))
+        value, flat = np.zeros(codes.shape, np.float32), codes.reshape(-1)
+        slot = (flat >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+        at = np.flatnonzero(self.used[slot])
+        at = at[self.check[slot[at]] == flat[at]]
+        value.reshape(-1)[at] = self.weight[slot[at]]
         size = np.fromiter(map(len, words), np.int64, len(words))
         return value @ weights.astype(np.float32) / lengths_norm(size) + self.bias
 
@@ -151,41 +168,62 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def text_features(best: list[float], words: int) -> list[float]:
-    """Worst word, mean of the two worst, number of words the machine takes for insults, and the text's length."""
-    top = heapq.nlargest(2, best) or [-2.0]
-    return [top[0], sum(top) / len(top), float(np.log1p(sum(b > 0 for b in best))), float(np.log1p(words))]
-
-
 class Scorer:
     def __init__(self, model: Model) -> None:
         self.model, self._known = model, {}
 
-    def words(self, texts: list[str | None]) -> list[set[str]]:
-        """The different words of each text, long ones in pieces, all of them scored."""
-        if len(self._known) > CACHE_WORDS:
-            self._known.clear()
+    def words(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray]:
+        """The different words of each text, long ones in pieces, and the scores of all of them, one text after the other."""
         sets = []
         for text in texts:
             words = set(words_of(text))
             for w in [w for w in words if len(w) > PIECE] if max(map(len, words), default=0) > PIECE else ():
                 words.discard(w)
                 words.update(w[i:i + PIECE] for i in range(0, len(w), PIECE // 2))
-            sets.append(words)
-        new = sorted(set().union(*sets) - self._known.keys(), key=len)  # words of like length share an array
+            sets.append(list(words))
+        known = self._known
+        new = sorted(set().union(*sets) - known.keys(), key=len)  # words of like length share an array
+        if len(known) + len(new) > CACHE_WORDS:
+            known = {w: known[w] for w in set().union(*sets) & known.keys()}
         for at in range(0, len(new), 2048):
             part = new[at:at + 2048]
-            self._known.update(zip(part, self.model.score_words(part).tolist()))
-        return sets
-
-    def worst(self, text: str | None, n: int) -> list[str]:
-        """The ``n`` words with the highest scores, ties by the word."""
-        return heapq.nsmallest(n, self.words([text])[0], key=lambda w: (-self._known[w], w))
+            known.update(zip(part, self.model.score_words(part).tolist()))
+        return sets, np.fromiter(map(known.__getitem__, chain.from_iterable(sets)), np.float64, sum(map(len, sets)))
+
+    def worst(self, texts: list[str | None], n: list[int]) -> Iterator[list[str]]:
+        """The ``n`` words of each text with the highest scores, ties by the word."""
+        sets, scores = self.words(texts)
+        at = 0
+        for words, k in zip(sets, n):
+            own = scores[at:at + len(words)]
+            at += len(words)
+            bar = np.partition(own, -k)[-k] if len(words) > k else -np.inf
+            yield sorted((words[i] for i in np.flatnonzero(own >= bar)), key=lambda w, v=dict(zip(words, own)): (-v[w], w))[:k]
 
     def features(self, texts: list[str | None]) -> np.ndarray:
-        sets = self.words(texts)
-        value = self._known.__getitem__
-        return np.array([text_features(list(map(value, ws)), len(ws)) for ws in sets], np.float64).reshape(-1, 4)
+        """Worst word, mean of the two worst, number of words the machine takes for insults, and the text's length."""
+        out = [np.empty((0, 4))]
+        for first in range(0, len(texts), BATCH):
+            sets, scores = self.words(texts[first:first + BATCH])
+            size = np.fromiter(map(len, sets), np.int64, len(sets))
+            some, part = np.flatnonzero(size), np.zeros((len(sets), 4))
+            part[:, :2], part[:, 3] = -2.0, np.log1p(size)
+            if len(some):
+                start = (np.cumsum(size) - size)[some]
+                part[some, 0] = top = np.maximum.reduceat(scores, start)
+                part[some, 2] = np.log1p(np.add.reduceat(scores > 0, start, dtype=np.int64))
+                places = np.flatnonzero(scores == np.repeat(top, size[some]))
+                scores[places[np.searchsorted(places, start)]] = -np.inf  # once where several words are worst
+                second = np.maximum.reduceat(scores, start)
+                part[some, 1] = np.where(size[some] > 1, (top + second) / 2, top)
+            out.append(part)
+        return np.vstack(out)
+
+
+@lru_cache(maxsize=1)
+def scorer_of(model: Model) -> Scorer:
+    """A worker's scorer for a broadcast model: the tasks that it runs one after the other share the words scored."""
+    return Scorer(model)
 
 
 def word_evidence(rows: DataFrame, words: int = SAMPLE_WORDS) -> list[tuple[str, int, float]]:
@@ -256,10 +294,11 @@ def named_words(rows: DataFrame, model: Model) -> list[tuple[str, int, int]]:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
-        for batch in batches:
-            out = [(w, 1 if label else -1) for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                   for w in scorer.worst(text, 1 if label else NAMED)]
+        scorer = scorer_of(shared.value)
+        for batch in (b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH)):
+            labels = batch.column(1).to_pylist()
+            named = scorer.worst(batch.column(0).to_pylist(), [1 if label else NAMED for label in labels])
+            out = [(w, 1 if label else -1) for words, label in zip(named, labels) for w in words]
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.string()), pa.array([c for _, c in out], pa.int64())], names=["word", "class"])
 
     named = rows.select("text", F.col("label").cast("bigint")).mapInArrow(run, "word string, class bigint")
@@ -332,7 +371,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for batch in batches:
             f = scorer.features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*(pa.array(f[:, k]) for k in range(4)), batch.column(1)], names=["a", "b", "c", "d", "label"])
@@ -351,10 +390,9 @@ def score_column(spark: SparkSession, model: Model, text: str = "text") -> Colum
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(shared.value)
+        scorer = scorer_of(shared.value)
         for batch in batches:
-            parts = [scorer.features(batch.iloc[at:at + 128].tolist()) for at in range(0, len(batch), 128)]
-            yield pd.Series(shared.value.score(np.vstack(parts) if parts else np.empty((0, 4))))
+            yield pd.Series(shared.value.score(scorer.features(batch.tolist())))
 
     return run(F.col(text))
 

@@ -231,6 +231,34 @@ def test_labelled_sentences_name_their_worst_words(spark):
     assert got == want and got["blockhead", 1] == 40
 
 
+def test_words_of_many_texts_are_scored_together(monkeypatch):
+    """Against single texts; the texts of a batch share one pass over their new words, and a worker's tasks share the scores."""
+    rnd = random.Random(11)
+    texts = [" ".join("".join(rnd.choices("abcdeé", k=5)) for _ in range(30)) for _ in range(200)] + [None, "", "one", "x" * 90, "i d i o t"]
+    marks, known = toxicity._features(["abcde", "bdeca", "eabcd"])
+    check, weight = np.zeros(1 << toxicity.TABLE_BITS, np.uint64), np.zeros(1 << toxicity.TABLE_BITS, np.float32)
+    codes = np.fromiter(known, np.uint64, len(known))
+    slot = (codes >> np.uint64(64 - toxicity.TABLE_BITS)).astype(np.int64)
+    check[slot], weight[slot] = codes, np.random.default_rng(1).standard_normal(len(codes))
+    model = toxicity.Model(check, weight, -0.1, np.zeros(5))
+    plain = toxicity.Model.score_words
+    value = {w: float(plain(model, [w])[0]) for t in texts for w in toxicity.Scorer(model).words([t])[0][0]}
+    calls = []
+    monkeypatch.setattr(toxicity.Model, "score_words", lambda self, words: calls.append(len(words)) or plain(self, words))
+    for cache in (toxicity.CACHE_WORDS, 100):
+        monkeypatch.setattr(toxicity, "CACHE_WORDS", cache)
+        scorer, calls[:] = toxicity.Scorer(model), []
+        named = list(scorer.worst(texts, [1 + i % 2 for i in range(len(texts))]))
+        assert len(calls) <= 4 and len(scorer._known) <= cache
+        got = scorer.features(texts)
+        for i, (words, row) in enumerate(zip(scorer.words(texts)[0], got)):
+            best = sorted(words, key=lambda w: (-value[w], w))
+            assert all(abs(value[a] - value[b]) < 1e-5 for a, b in zip(named[i], best)) and len(named[i]) == min(1 + i % 2, len(best))
+            top = [value[w] for w in best[:2]] or [-2.0]
+            assert np.allclose(row, [top[0], sum(top) / len(top), np.log1p(sum(value[w] > 0 for w in words)), np.log1p(len(words))], atol=1e-4)
+    assert toxicity.scorer_of(model) is toxicity.scorer_of(model)
+
+
 def test_toxicity_odd_rows(spark, odd, none):
     marks = spark.createDataFrame([(3, None), (4, 1), (4, 1), (5, 0), (None, 1)], "doc_id bigint, toxic int")
     got = toxicity.train_and_score(odd, marks).collect()
