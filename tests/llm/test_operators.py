@@ -555,6 +555,20 @@ def test_line_dedup_equals_brute_force(spark):
     assert got == plain_later([(d, i, x) for d, t in docs for i, x in enumerate(t.split("\n"))])
 
 
+def test_long_lines_of_a_closed_vocabulary_do_not_all_meet(spark, monkeypatch):
+    """Lines longer than 64 words share prefix words with nearly all others; all but the similar ones must part before they are joined."""
+    rnd = random.Random(8)
+    lines = [rnd.sample(range(700), rnd.choice([30, 63, 64, 70, 110, 127, 128, 150, 250])) for _ in range(260)]
+    for k, x in enumerate(lines[:40]):
+        lines.append(x[:len(x) - rnd.randrange(len(x) // 6)] + [1000 + k] * rnd.randrange(2))
+    rows = [(d, " ".join(f"w{i}" for i in x)) for d, x in enumerate(lines)]
+    pairs, plain = [], line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda docs, prefixes, p, *rest: pairs.append(p.count()) or plain(docs, prefixes, p, *rest))
+    got = {tuple(r) for r in line_dedup.similar_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == plain_later([(d, 0, t) for d, t in rows]) and len(got) >= 30
+    assert sum(pairs) < 2 * len(lines)
+
+
 def test_line_dedup_odd_rows(spark, odd, none):
     more = spark.createDataFrame([(20, "p q r s t u\nshort", 0, 0, "", .0, ""), (21, "keep\nP q r s t u", 0, 0, "", .0, ""), (22, "p q r s t u", 0, 0, "", .0, "")], CLASHING)
     out = line_dedup.remove_later(odd.union(more))
