@@ -17,6 +17,7 @@ from functools import cache
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,15 +103,13 @@ def ids_of(words: list[str]) -> np.ndarray:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """``ids``: the features of each document's words, as little-endian 16-bit integers."""
+    """``docs`` with ``ids``: the features of each document's words, as little-endian 16-bit integers."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                made = [features_of(t).astype("<u2").tobytes() for t in batch.column(0).slice(at, 256).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["ids"])
+    @F.pandas_udf("binary")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([features_of(t).astype("<u2").tobytes() for t in texts], dtype=object)
 
-    return docs.select("text").mapInArrow(run, "ids binary")
+    return docs.withColumn("ids", run("text"))
 
 
 def _frequency(features: DataFrame) -> np.ndarray:
@@ -126,7 +125,7 @@ def _frequency(features: DataFrame) -> np.ndarray:
         there = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there])], names=["feature", "n"])
 
-    rows = features.mapInArrow(run, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    rows = features.select("ids").mapInArrow(run, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
     out = np.zeros(FEATURES + 1, np.int64)
     for r in rows.collect():  # at most FEATURES + 1 rows
         out[r["feature"]] = r["n"]
@@ -252,6 +251,7 @@ def fit_space(features: DataFrame, blocks: Callable[[], Iterator[list[list[str]]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([out[f].astype(np.float32).tobytes() for f in part], pa.binary())], names=["feature", "row"])
 
     form = "feature bigint, row binary"
+    features = features.select("ids")
     rows = features.mapInArrow(spread, form).repartition("feature").mapInArrow(add_up, form)
     y = np.zeros((FEATURES, rank))
     for r in rows.toLocalIterator():  # FEATURES rows in all
@@ -331,17 +331,20 @@ class Search:
             self.places.append(at)
 
     def hits(self, text: str | None) -> list[tuple[int | None, float, float]]:
-        """(item, cosine, share of the item in order) of the items that a text contains, the best passage of each.
+        """(item, cosine, share of the item in order) of the items that a text contains, the best passage of each."""
+        return self.hits_of(features_of(text), lambda: text)
+
+    def hits_of(self, every: np.ndarray, text: Callable[[], str | None]) -> list[tuple[int | None, float, float]]:
+        """The same from the features of a text's words; ``text`` is called when there is something to verify.
 
         A long text is handled in runs of ``CHUNK`` words, each with the blocks after it that a window may reach into.
         """
-        every = features_of(text)
         if not len(every) or not self.items:
             return []
         words: list[str] = []  # made when there is something to verify
 
         def part(first: int, last: int) -> list[str]:
-            words.extend(() if words else words_of(text))
+            words.extend(() if words else words_of(text()))
             return words[first:last]
 
         best: dict[int, tuple[float, float]] = {}
@@ -433,26 +436,29 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = spark.createDataFrame([], form)
     if named.isEmpty():
         return found
-    features = stage(spark, _features(docs), "features")
+    features = stage(spark, _features(docs.select("doc_id", "text")), "features")
     space = fit_space(features, lambda: ([w for _, w in block] for block in blocks()), _frequency(features))
-    release(features)
     for block in blocks():
-        found = found.union(_searched(spark, docs, space, block, form))
+        found = found.union(_searched(spark, features, space, block, form))
+    found = stage(spark, found, "found")
+    release(features)
     return found
 
 
-def _searched(spark: SparkSession, docs: DataFrame, space: Space, rows: list, form: str) -> DataFrame:
+def _searched(spark: SparkSession, features: DataFrame, space: Space, rows: list, form: str) -> DataFrame:
     shared = spark.sparkContext.broadcast((space, rows))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(*shared.value)
         for batch in batches:
-            out = [(d, *h) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for h in search.hits(t)]
+            texts = batch.column(1)
+            out = [(d, *h) for k, (d, ids) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+                   for h in search.hits_of(np.frombuffer(ids, "<u2").astype(np.int64), lambda k=k, texts=texts: texts[k].as_py())]
             d, i, c, s = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(c, pa.float64()),
                                               pa.array(s, pa.float64())], names=["doc_id", "item_id", "cosine", "overlap"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, form)
+    return features.select("doc_id", "text", "ids").mapInArrow(run, form)
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

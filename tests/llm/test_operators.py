@@ -706,6 +706,23 @@ def test_decontamination_recall_of_paraphrases(spark, monkeypatch):
     assert len(want) > 350 and len(want & got) >= 0.95 * len(want)
 
 
+def test_texts_are_hashed_once_and_read_again_only_to_verify(spark):
+    rnd = random.Random(31)
+    prose = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=4)) for _ in range(n))
+    item = prose(30)
+    rows = [(0, f"{prose(40)} {item} {prose(50)}"), (1, prose(300)), (2, None), (3, "")]
+    staged = decontam._features(spark.createDataFrame(rows, "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text) for r in staged] == rows
+    ids = [np.frombuffer(r.ids, "<u2").astype(np.int64) for r in staged]
+    assert all(np.array_equal(i, decontam.features_of(t)) for i, (_, t) in zip(ids, rows))
+    frequency = decontam.document_frequency(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    idf = np.log((frequency[-1] + 1) / (frequency[:-1] + 0.5)).clip(0.1).astype(np.float32)
+    search = decontam.Search(decontam.Space(idf, np.ones((decontam.FEATURES, 1), np.float32)), [(7, decontam.words_of(item))])
+    read = []
+    got = [search.hits_of(i, lambda d=d, t=t: read.append(d) or t) for i, (d, t) in zip(ids, rows)]
+    assert got == [search.hits(t) for _, t in rows] and got[0][0][0] == 7 and read == [0]
+
+
 def test_latent_space_is_fitted_on_every_document(spark, monkeypatch):
     """Far more documents than the sample had: the space equals one computed document by document, whatever runs they share."""
     rnd = random.Random(21)
