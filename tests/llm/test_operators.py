@@ -558,7 +558,7 @@ def test_line_dedup_equals_brute_force(spark):
 def test_long_lines_of_a_closed_vocabulary_do_not_all_meet(spark, monkeypatch):
     """Lines longer than 64 words share prefix words with nearly all others; all but the similar ones must part before they are joined."""
     rnd = random.Random(8)
-    lines = [rnd.sample(range(700), rnd.choice([30, 63, 64, 70, 110, 127, 128, 150, 250])) for _ in range(260)]
+    lines = [rnd.sample(range(700), rnd.choice([30, 63, 64, 70, 110, 127, 128, 150, 250, 383, 384, 450])) for _ in range(260)]
     for k, x in enumerate(lines[:40]):
         lines.append(x[:len(x) - rnd.randrange(len(x) // 6)] + [1000 + k] * rnd.randrange(2))
     rows = [(d, " ".join(f"w{i}" for i in x)) for d, x in enumerate(lines)]
