@@ -18,7 +18,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property, lru_cache
+from functools import cached_property
 from itertools import chain, combinations
 
 import numpy as np
@@ -42,7 +42,7 @@ ROUNDS = 3
 NAMED = 2
 COPY_HASHES = 5
 TABLE_BITS = 20
-#: Words whose scores a worker keeps from task to task; when there are so many, further ones are scored anew for each batch.
+#: Words whose scores a task keeps; when there are so many, further ones are scored anew for each batch.
 CACHE_WORDS = 400_000
 #: Longer words are scored in pieces of this size.
 PIECE = 40
@@ -139,7 +139,7 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, squ
     return w
 
 
-@dataclass(eq=False)
+@dataclass
 class Model:
     """Weights by subsequence in a hash table, the machine's bias, and the logistic curve over ``text_features``."""
 
@@ -202,28 +202,19 @@ class Scorer:
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """Worst word, mean of the two worst, number of words the machine takes for insults, and the text's length."""
-        out = [np.empty((0, 4))]
-        for first in range(0, len(texts), BATCH):
-            sets, scores = self.words(texts[first:first + BATCH])
-            size = np.fromiter(map(len, sets), np.int64, len(sets))
-            some, part = np.flatnonzero(size), np.zeros((len(sets), 4))
-            part[:, :2], part[:, 3] = -2.0, np.log1p(size)
-            if len(some):
-                start = (np.cumsum(size) - size)[some]
-                part[some, 0] = top = np.maximum.reduceat(scores, start)
-                part[some, 2] = np.log1p(np.add.reduceat(scores > 0, start, dtype=np.int64))
-                places = np.flatnonzero(scores == np.repeat(top, size[some]))
-                scores[places[np.searchsorted(places, start)]] = -np.inf  # once where several words are worst
-                second = np.maximum.reduceat(scores, start)
-                part[some, 1] = np.where(size[some] > 1, (top + second) / 2, top)
-            out.append(part)
-        return np.vstack(out)
-
-
-@lru_cache(maxsize=1)
-def scorer_of(model: Model) -> Scorer:
-    """A worker's scorer for a broadcast model: the tasks that it runs one after the other share the words scored."""
-    return Scorer(model)
+        sets, scores = self.words(texts)
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        some, out = np.flatnonzero(size), np.zeros((len(sets), 4))
+        out[:, :2], out[:, 3] = -2.0, np.log1p(size)
+        if len(some):
+            start = (np.cumsum(size) - size)[some]
+            out[some, 0] = top = np.maximum.reduceat(scores, start)
+            out[some, 2] = np.log1p(np.add.reduceat(scores > 0, start, dtype=np.int64))
+            places = np.flatnonzero(scores == np.repeat(top, size[some]))
+            scores[places[np.searchsorted(places, start)]] = -np.inf  # once where several words are worst
+            second = np.maximum.reduceat(scores, start)
+            out[some, 1] = np.where(size[some] > 1, (top + second) / 2, top)
+        return out
 
 
 def word_evidence(rows: DataFrame, words: int = SAMPLE_WORDS) -> list[tuple[str, int, float]]:
@@ -294,7 +285,7 @@ def named_words(rows: DataFrame, model: Model) -> list[tuple[str, int, int]]:
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(shared.value)
+        scorer = Scorer(shared.value)
         for batch in (b.slice(at, BATCH) for b in batches for at in range(0, b.num_rows, BATCH)):
             labels = batch.column(1).to_pylist()
             named = scorer.worst(batch.column(0).to_pylist(), [1 if label else NAMED for label in labels])
@@ -371,7 +362,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_TEXTS) -> Model
     shared = spark.sparkContext.broadcast(model)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(shared.value)
+        scorer = Scorer(shared.value)
         for batch in batches:
             f = scorer.features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([*(pa.array(f[:, k]) for k in range(4)), batch.column(1)], names=["a", "b", "c", "d", "label"])
@@ -390,9 +381,10 @@ def score_column(spark: SparkSession, model: Model, text: str = "text") -> Colum
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = scorer_of(shared.value)
+        scorer = Scorer(shared.value)
         for batch in batches:
-            yield pd.Series(shared.value.score(scorer.features(batch.tolist())))
+            parts = [scorer.features(batch.iloc[at:at + BATCH].tolist()) for at in range(0, len(batch), BATCH)]
+            yield pd.Series(shared.value.score(np.vstack(parts) if parts else np.empty((0, 4))))
 
     return run(F.col(text))
 
