@@ -568,6 +568,14 @@ def test_long_lines_of_a_closed_vocabulary_do_not_all_meet(spark, monkeypatch):
     assert sum(pairs) < 2 * len(lines)
 
 
+def test_only_texts_with_a_wanted_line_are_shuffled(spark):
+    frame = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b\nc").alias("text"))
+    wanted = spark.range(0, 20_000, 100).select(F.col("id").alias("doc_id"))
+    left = {r.doc_id for r in line_dedup._marked(frame, wanted).collect()}
+    assert left >= set(range(0, 20_000, 100)) and len(left) < 300
+    assert line_dedup._marked(frame, wanted.limit(0)).count() == 0
+
+
 def test_line_dedup_odd_rows(spark, odd, none):
     more = spark.createDataFrame([(20, "p q r s t u\nshort", 0, 0, "", .0, ""), (21, "keep\nP q r s t u", 0, 0, "", .0, ""), (22, "p q r s t u", 0, 0, "", .0, "")], CLASHING)
     out = line_dedup.remove_later(odd.union(more))
