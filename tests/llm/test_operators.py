@@ -376,6 +376,20 @@ def test_topk_pivot_and_skipping_lose_nothing(seed, monkeypatch):
         assert [(-round(s, 9), d) for s, d in zip(best.score[q], best.doc[q].tolist())] == want
 
 
+def test_topk_sends_the_bar_of_earlier_waves_along(spark, monkeypatch):
+    """What tasks return doesn't grow with the number of shards as such, and is the same as from one shard."""
+    rnd = random.Random(3)
+    rows = [(d, " ".join(f"w{min(rnd.randrange(300), rnd.randrange(300))}" for _ in range(rnd.randrange(1, 40)))) for d in range(1280)] + [(1280, "w1 w2"), (1281, "w1 w2")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    ask = frame.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    want = sorted(topk.top_k(frame, ask, 3).collect())
+    returned, plain = [], topk.stage
+    monkeypatch.setattr(topk, "stage", lambda s, df, name, *by: (lambda out: (name == "answers" and returned.append(out.count()), out)[1])(plain(s, df, name, *by)))
+    monkeypatch.setattr(topk, "SHARD_DOCS", 20)
+    assert sorted(topk.top_k(frame, ask, 3).collect()) == want
+    assert len(returned) == 6 and sum(returned[1:]) < 2.2 * 3 * ask.count() * len(returned[1:])
+
+
 def test_topk_odd_rows(odd, none):
     ask = odd.select(F.col("doc_id").alias("query_id"), "text")
     got = topk.top_k(odd, ask).collect()
