@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from chronograde import schemas
 from chronograde.operators import grid, rules, staging
 from chronograde.operators.rules import Rule, RuleSet
-from chronograde.plans import warehouse
-from conftest import cells_of, rating_rows
+from chronograde.plans import catalog, warehouse
+from conftest import SF, cells_of, rating_rows
 
 ANCHOR = "[Scope Credit Metrics]"
 
@@ -169,3 +169,24 @@ def test_standard_rules_domains():
     sizes = {n: len(by_name[n].allowed) for n in ("CorporateSector", "Rating methodologies applied", "Industry risk",
              "Industry risk score", "Reporting Currency/Units", "Country of origin", "End of business year", "Leverage", "Liquidity")}
     assert list(sizes.values()) == [17, 16, 47, 7, 28, 39, 12, 21, 9]
+
+
+def test_assembled_payload_has_years_and_metrics(spark):
+    """The payload is the metadata and the metric matrix, not the metadata alone."""
+    docs = docs_of(spark, {1: [
+        [None, "b", "x", "y"], [None, 'a "q"', None], [None, "c", "1"], [None, ANCHOR, "2020", "2021E"],
+        [None, "M", "1.5", "n/a", "Locked"], [None, "N", None, "2", None, ""],
+    ], 2: [[None, "k", "v"], [None, ANCHOR, "2020"]]})
+    texts = {r[0]: r[1] for r in docs.select("file_id", grid.document_json(F.col("metadata"), F.col("years"), F.col("metrics"))).collect()}
+    assert json.loads(texts[1]) == {
+        "metadata": {"b": ["x", "y"], 'a "q"': None, "c": "1"},
+        "scopeCreditMetrics": {"years": ["2020", "2021E"], "metrics": {
+            "M": {"2020": "1.5", "2021E": None, "status": "Locked"}, "N": {"2020": None, "2021E": "2", "status": None}}},
+    }
+    assert json.loads(texts[2]) == {"metadata": {"k": "v"}, "scopeCreditMetrics": {"years": ["2020"], "metrics": {}}}
+
+
+def test_assembled_payload_query_is_the_whole_document(spark):
+    first = catalog.assemble_payload(spark, SF).first()
+    whole = json.loads(first["payload_json"])
+    assert whole["metadata"] == json.loads(first["metadata_json"]) and len(whole["scopeCreditMetrics"]["years"]) == 7
