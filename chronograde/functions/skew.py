@@ -20,6 +20,7 @@ def salted_join(
     spread_by: Sequence[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    broadcast: bool = True,
 ) -> DataFrame:
     """Join ``left`` to ``right`` (unique on ``keys``) with hot keys spread over ``SALTS`` tasks.
 
@@ -27,6 +28,9 @@ def salted_join(
     frequent ones above ``hot_rows``, are salted: their right rows are repeated per salt, their left
     rows take a salt from a hash of ``spread_by``. Every other key keeps salt 0, and beyond the 1024
     hottest a key holds under a thousandth of the rows. The hot list has a fixed bound, so it is broadcast.
+
+    ``broadcast=False`` keeps ``right`` itself from being broadcast. The optimizer judges a table that was written and read
+    back by its file, which says little where values repeat: a megabyte of it may be a million rows on the driver.
     """
     keys = list(keys)
     hot = (
@@ -40,4 +44,6 @@ def salted_join(
     all_salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     spread = left.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt.cast("int")).drop("_hot")
     copies = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(all_salts)).drop("_hot")
+    if not broadcast:
+        copies = copies.hint("merge")
     return spread.join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -92,7 +92,8 @@ def placed_rows(
     """Sheet rows of files that have an anchor, with their file's bounds. ``settle`` may write a result and read it back."""
     rows = settle(sheet_rows(cells, anchor), "sheet_rows")
     limits = settle(bounds(rows).filter("anchor_row IS NOT NULL"), "bounds")
-    return salted_join(rows.drop("last_col"), limits, ["file_id"], "n_rows", ["row_idx"], "inner", hot_rows)
+    # one row a file: as many as the input has files, however few bytes they take on disk
+    return salted_join(rows.drop("last_col"), limits, ["file_id"], "n_rows", ["row_idx"], "inner", hot_rows, broadcast=False)
 
 
 def _texts(vals: str | Column) -> Column:

@@ -404,3 +404,16 @@ def test_spanning_points_join_once(spark):
     joins = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("Join ")
     placed = sheets.placed_rows(df, "[A]")
     assert joins(sheets.metric_points(placed)) <= joins(placed)
+
+
+def test_bounds_are_never_broadcast(spark):
+    """Bounds that repeat take few bytes on disk however many files there are, so their size must not decide on a broadcast."""
+    label = F.explode(F.array(*[F.struct(F.lit(r).alias("row_idx"), F.lit(c).alias("col_idx"), F.lit(v).alias("value"))
+                                for r, c, v in [(0, 1, "k"), (0, 2, "v"), (1, 1, "[A]"), (1, 2, "2020"), (2, 1, "m"), (2, 2, "1"), (2, 3, "s")]]))
+    cells = spark.range(3000).select(F.col("id").alias("file_id"), label.alias("c")).select("file_id", "c.*")
+    placed = sheets.placed_rows(cells, "[A]", stage)
+    for rows in (sheets.metadata_rows(placed), sheets.metadata_last_wins(placed), sheets.year_header(placed), sheets.metric_block(placed)):
+        frame = rows.groupBy().count()
+        assert frame.collect()[0][0] == 3000
+        final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
