@@ -13,7 +13,7 @@ from chronograde.plans import warehouse
 from chronograde.plans.catalog import _CUT, _landed, _rows, _subs_hashed, query
 from chronograde.plans.views_sql import with_views
 from chronograde.sources import fixtures as fx
-from chronograde.sources.store import Store, Write, discard_at_exit, scratch_folder, stage
+from chronograde.sources.store import Store, Write, discard, discard_at_exit, scratch_folder, stage
 from chronograde.streaming import stage_events
 
 
@@ -26,12 +26,16 @@ def _new_store(spark) -> Store:
 
 def _merged_store(spark, d) -> Store:
     """A store that got the submissions before a date in one commit and the others in a second one."""
-    store = _new_store(spark)
-    rows = stage(_rows(spark, d), "rows")
+    store, scratch = _new_store(spark), scratch_folder(spark)
+    discard_at_exit(spark, scratch)
+    rows = stage(_rows(spark, d), "rows", scratch)
     cut = F.lit(_CUT).cast("timestamp_ntz")
     for batch in (rows.filter(F.col("submitted_at") < cut), rows.filter(F.col("submitted_at") >= cut)):
         touched = store.touched(batch.filter("natural_key IS NOT NULL"), "natural_key")
-        store.commit(warehouse.merge_touched(store, batch, touched, stage) if touched else {})
+        keep = lambda df, name: stage(df, name, f"{scratch}/batch")
+        store.commit(warehouse.merge_touched(store, batch, touched, keep) if touched else {})
+        discard(spark, f"{scratch}/batch")  # the commit has written all that derives from it
+    discard(spark, scratch)
     discard_at_exit(spark, store.root)
     return store
 

@@ -3,20 +3,23 @@
 import io
 import os
 import random
+import time
 import zipfile
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from chronograde.operators import audit, dedupe, grid, late, scd2, sheets
 from chronograde.operators.rules import standard_rules
-from chronograde.plans import warehouse
+from chronograde.plans import catalog, catalog_incremental, warehouse
+from chronograde.session import shared_folder
 from chronograde.sources import landing
 from chronograde.sources.store import Store, Write, stage
 from chronograde.streaming import stage_events
 from chronograde.streaming.landing_stream import ingest_folder
-from conftest import rating_rows, workbook
+from conftest import SF, rating_rows, workbook
 from test_scd2 import make, row
 
 START = datetime(2024, 1, 1)
@@ -417,3 +420,47 @@ def test_bounds_are_never_broadcast(spark):
         assert frame.collect()[0][0] == 3000
         final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for d in folders for f in Path(str(d)).rglob("shuffle_*")}
+
+
+def settled(spark, before):
+    """Shuffle files that stay; Spark deletes a write's files in the background."""
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    return shuffle_files(spark) - before
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    before, store = shuffle_files(spark), Store(spark, str(tmp_path), buckets=4)
+    rows = stage(make(spark, [row(i, f"k{i % 9}", i, "a", "x") for i in range(60)]).repartition(3, "natural_key"), "rows")
+    assert settled(spark, before) == set() and rows.count() == 60
+    before = shuffle_files(spark)
+    names = rows.select("natural_key").distinct().withColumn("key_bucket", store.bucket("natural_key"))
+    data = scd2.entity_history(scd2.annotate_versions(scd2.batch_rows(rows))).join(names, "natural_key")
+    store.prepare("dim_entities", Write(data, "versioned"))
+    assert settled(spark, before) == set()
+
+
+def test_a_merged_batch_leaves_only_the_store(spark):
+    """Rows, timelines and profiles that the commits have used up are gone, the store's tables are not."""
+    whole = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(whole.iterdir()) if whole.exists() else set()
+    assert catalog_incremental.merge_touched_facts(spark, SF).count() > 0
+    (new,) = [p for p in set(whole.iterdir()) - before if any(p.rglob("*.parquet"))]
+    assert (new / "manifests").is_dir()
+
+
+@pytest.mark.parametrize("name", ["metric_history", "metric_history_nested"])
+def test_a_history_keeps_no_parsed_rows(spark, name):
+    """The annotated timeline holds all of the parsed rows, so these go; the facts' shuffle ends before the history's begins."""
+    whole = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(whole.rglob("*.parquet"))
+    assert catalog.QUERIES[name](spark, SF).count() > 0
+    kept = {p.parent.name.split("-")[0] for p in set(whole.rglob("*.parquet")) - before}
+    assert kept == {"annotated", "facts"} | ({"history"} if name.endswith("nested") else set())
