@@ -190,3 +190,19 @@ def test_assembled_payload_query_is_the_whole_document(spark):
     first = catalog.assemble_payload(spark, SF).first()
     whole = json.loads(first["payload_json"])
     assert whole["metadata"] == json.loads(first["metadata_json"]) and len(whole["scopeCreditMetrics"]["years"]) == 7
+
+
+def test_payload_texts_are_made_once(spark):
+    """A document's metadata text is one expression of the plan, not repeated for its length and its test for being empty."""
+    docs = docs_of(spark, {1: [[None, "k", "v"], [None, ANCHOR, "2020"], [None, "M", "1", "s"]]}).withColumn(
+        "industries", F.array().cast("array<struct<sector:string,weight:string,score:string>>"))
+    document = staging.payload_json(docs).select("parsed_data")
+    assert document._jdf.queryExecution().analyzed().toString().count("map_entries(") == 1
+    assert document.first()[0] == '{"metadata":{"k":"v","Industry risk":[]},"scopeCreditMetrics":{"years":["2020"],"metrics":{"M":{"2020":"1","status":"s"}}}}'
+
+
+def test_repeated_years_and_names_last_wins(spark):
+    docs = docs_of(spark, {1: [[None, "k", "v"], [None, ANCHOR, "2020", "2021", "2020"],
+                               [None, "M", "1", "2", "3", "s"], [None, "N", "4", "5", "6", "t"], [None, "M", "7", "8", "9", "u"]]})
+    assert docs.select(grid.metrics_json(F.col("years"), F.col("metrics"))).first()[0] == (
+        '{"years":["2020","2021","2020"],"metrics":{"N":{"2021":"5","2020":"6","status":"t"},"M":{"2021":"8","2020":"9","status":"u"}}}')

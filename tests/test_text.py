@@ -78,3 +78,10 @@ def test_numbers_beyond_the_fixed_types_are_kept_or_reported(spark):
     assert one(spark, text.beyond_numeric(F.lit("123456789012345"))) is True
     assert one(spark, text.beyond_numeric(F.lit("12345678901234"))) is False
     assert one(spark, text.beyond_numeric(F.lit(None).cast("string"))) is False
+
+
+@pytest.mark.parametrize("raw", ["plain", 'a "b"', "back\\slash", "tab\t, line\n", "\x00\x1f\x7f", "é 日本 😀", "\u2028", "\ufffd", "", "/"])
+def test_json_text_equals_the_writer(spark, raw):
+    """Text without anything to escape is not given to the JSON writer, with the same result."""
+    assert one(spark, text.json_text(F.lit(raw))) == one(spark, F.to_json(F.array(F.lit(raw))))[1:-1]
+    assert one(spark, text.json_text(F.lit(None).cast("string"))) == "null"
